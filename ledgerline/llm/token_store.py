@@ -33,75 +33,104 @@ _MASK = (1 << 64) - 1
 # ---- encoding -------------------------------------------------------------
 
 class WordEncoder:
-    """Encodes whole texts through the tokenizers library, each different word
-    once: for a tokenizer that drops white space, a text's ids are those of its
-    white-space separated words one after another."""
+    """Encodes whole texts through the tokenizers library, each different
+    piece once.
+
+    For a tokenizer that drops white space and parts letters and digits from
+    punctuation, a text's ids are those of its white-space separated words one
+    after another, and those of a word are its core's and then its closing
+    punctuation's. Words of ASCII alone are looked up in lower case, which this
+    tokenizer takes anyway; others keep their case, as lower-casing before the
+    library composes accents could change its result (nor may < begin a special token
+    that the text did not have).
+    """
 
-    #: Words remembered; beyond, memory starts anew. Longer words are not remembered.
-    WORDS, WORD_BYTES = 400_000, 64
+    #: Pieces remembered per Python worker: the first ones, so the frequent ones. Others are encoded anew in each batch.
+    PIECES = 600_000
+    #: Closing punctuation that may be parted; none of it ends a special token or begins a contraction.
+    CLOSING = b".,;:!?#$%&*)"
 
     def __init__(self, path: str):
         import os
 
+        import numpy as np
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
-        import numpy as np
-
         self.places: dict[bytes, int] = {}
-        self.ids, self.used = np.zeros(1 << 16, np.int32), 0
-        self.starts, self.lengths = [], []
-
-    def _learn(self, words: list[bytes]) -> None:
+        self.ids, self.used = np.zeros(1 << 20, np.int32), 0
+        self.ends = np.zeros(self.PIECES + 1, np.int64)
+        bytes_ = np.arange(256)
+        self.blank = np.isin(bytes_, [9, 10, 11, 12, 13, 32])
+        self.lower = np.where((bytes_ >= 65) & (bytes_ <= 90), bytes_ + 32, bytes_).astype(np.uint8)
+        self.closing = np.isin(bytes_, list(self.CLOSING))
+        self.plain = np.isin(bytes_, list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+
+    def _pieces(self, data, starts):
+        """Pieces of texts that begin at ``starts`` of one buffer: their bytes
+        and offsets, and how many pieces each text has."""
         import numpy as np
 
-        if len(self.places) + len(words) > self.WORDS and self.places:
-            self.forget()
-        found = [e.ids for e in self.library.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        n = sum(map(len, found))
-        if self.used + n > len(self.ids):
-            self.ids = np.concatenate([self.ids[: self.used], np.zeros(max(n, len(self.ids)), np.int32)])
-        for w, x in zip(words, found):
-            self.places[w] = len(self.starts)
-            self.starts.append(self.used)
-            self.lengths.append(len(x))
-            self.ids[self.used : self.used + len(x)] = x
-            self.used += len(x)
-
-    def encode(self, texts: list[bytes | None]) -> list["object"]:
-        """An int32 array of ids per text."""
+        solid = ~self.blank[data]
+        first = solid.copy()
+        first[1:] &= ~solid[:-1]
+        inner = starts[starts < len(data)]
+        first[inner] = solid[inner]  # a word ends with its text
+        place = np.cumsum(solid) - solid  # of each byte among the solid ones
+        words = place[np.flatnonzero(first)]
+        body = data[solid]
+        sizes = np.diff(words, append=len(body))
+        wide = np.add.reduceat(((body >= 128) | (body == ord("<"))).astype(np.int32), words) > 0
+        body = np.where(np.repeat(wide, sizes), body, self.lower[body])
+        core = np.maximum.accumulate(np.where(self.closing[body], -1, np.arange(len(body))))[words + sizes - 1]
+        parted = core[(core >= words) & (core < words + sizes - 1)]
+        parted = parted[self.plain[body[parted]]] + 1
+        offsets = np.sort(np.concatenate([words, parted]))
+        before = np.searchsorted(offsets, np.append(place, len(body))[np.minimum(starts, len(data))])
+        return body, np.append(offsets, len(body)), np.diff(before, append=len(offsets))
+
+    def encode(self, texts):
+        """(ids, lengths): the ids of all texts of an Arrow binary array, and how many each has."""
         import numpy as np
         import pyarrow as pa
 
-        words, counts = [], []
-        for t in texts:
-            w = t.split() if t else []
-            words.extend(w)
-            counts.append(len(w))
-        if not words:
-            return [np.zeros(0, np.int32) for _ in texts]
-        coded = pa.array(words, pa.binary()).dictionary_encode()
+        texts = texts.cast(pa.large_binary()).fill_null(b"")
+        bounds = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+        if not len(data) or self.blank[data].all():
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        body, offsets, counts = self._pieces(data, bounds[:-1] - bounds[0])
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(body))])
+        coded = pieces.dictionary_encode()
         unique = coded.dictionary.to_pylist()
-        new = [w for w in unique if w not in self.places]
-        if new:
-            self._learn(new)
-            lost = [w for w in unique if w not in self.places]
-            if lost:  # memory started anew
-                self._learn(lost)
-        places = np.array([self.places[w] for w in unique], np.int64)
-        starts, lengths = np.array(self.starts, np.int64)[places], np.array(self.lengths, np.int64)[places]
+        place = np.array([self.places.get(p, -1) for p in unique], np.int64)
+        new = np.flatnonzero(place < 0)
+        found = [e.ids for e in self.library.encode_batch_fast([unique[i].decode() for i in new], add_special_tokens=False)]
+        sizes = np.array([len(x) for x in found], np.int64)
+        flat = np.fromiter((i for x in found for i in x), np.int32, int(sizes.sum()))
+        # Ids of new pieces follow the remembered ones; as many as there is room for stay.
+        at, room = self.used, max(0, min(len(new), self.PIECES - len(self.places)))
+        lengths = np.zeros(len(unique), np.int64)
+        starts = np.zeros(len(unique), np.int64)
+        old = place >= 0
+        starts[old], lengths[old] = self.ends[place[old]], self.ends[place[old] + 1] - self.ends[place[old]]
+        ends = at + np.cumsum(sizes)
+        starts[new], lengths[new] = ends - sizes, sizes
+        if at + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids[:at], np.zeros(at + 2 * len(flat), np.int32)])
+        self.ids[at : at + len(flat)] = flat
+        n = len(self.places)
+        self.ends[n + 1 : n + 1 + room] = ends[:room]
+        self.places.update(zip((unique[i] for i in new[:room]), range(n, n + room)))
+        self.used = int(self.ends[len(self.places)])
         code = coded.indices.to_numpy(zero_copy_only=False)
-        s, n = starts[code], lengths[code]
-        ends = np.cumsum(n)
-        flat = self.ids[np.repeat(s - (ends - n), n) + np.arange(int(ends[-1]))]
-        cuts = np.concatenate([[0], ends])[np.cumsum(counts)]
-        for w in [w for w in new if len(w) > self.WORD_BYTES]:
-            self.places.pop(w, None)
-        return np.split(flat, cuts[:-1])
+        s, m = starts[code], lengths[code]
+        ends = np.cumsum(m)
+        out = self.ids[np.repeat(s - (ends - m), m) + np.arange(int(ends[-1]))]
+        cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        return out, np.diff(cuts)
 
 
 class PlainEncoder:
@@ -115,10 +144,21 @@ class PlainEncoder:
 
         self.library = Tokenizer.from_file(path)
 
-    def encode(self, texts: list[bytes | None]) -> list["object"]:
+    def encode(self, texts):
         import numpy as np
 
-        return [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast([(t or b"").decode() for t in texts], add_special_tokens=False)]
+        found = [e.ids for e in self.library.encode_batch_fast([(t.as_py() or b"").decode() for t in texts], add_special_tokens=False)]
+        return np.array([i for x in found for i in x], np.int32), np.array([len(x) for x in found], np.int64)
+
+
+#: Encoders of this Python process: Spark's workers serve many tasks.
+_encoders: dict[tuple, object] = {}
+
+
+def encoder_of(kind: Callable, path: str):
+    if (kind, path) not in _encoders:
+        _encoders[kind, path] = kind(path)
+    return _encoders[kind, path]
 
 
 # ---- minimal perfect hash -------------------------------------------------
@@ -292,19 +332,21 @@ def write(docs: DataFrame, tokenizer_path: str, uri: str | None = None, id_col:
     def encode(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        tool = encoder(tokenizer_path)
+        tool = encoder_of(encoder, tokenizer_path)
         for batch in batches:
             texts, at = batch.column(3), 0
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
             shard = _bins(batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False), points).astype(np.int32)
-            while at < len(texts):  # about 4 MB of text at a time
-                upto, size, some = at, 0, []
-                while upto < len(texts) and size < 4 << 20:
-                    some.append(texts[upto].as_py())
-                    size += len(some[-1] or b"")
-                    upto += 1
-                ids = [np.append(x, end_id).astype(f"<u{width}").tobytes() for x in tool.encode(some)]
-                yield pa.RecordBatch.from_arrays([*[batch.column(i).slice(at, upto - at) for i in range(3)], pa.array(shard[at:upto]), pa.array(ids, pa.binary())], names=["doc_id", "key", "tie", "shard", "ids"])
+            while at < len(texts):  # about 4 MB of text at a time, one text at least
+                upto = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + (4 << 20), "right")))
+                ids, lengths = tool.encode(texts.slice(at, upto - at))
+                ends = np.cumsum(lengths)
+                ids = np.insert(ids, ends, end_id).astype(f"<u{width}")
+                offsets = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]) * width
+                packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([*[batch.column(i).slice(at, upto - at) for i in range(3)], pa.array(shard[at:upto]), packed], names=["doc_id", "key", "tie", "shard", "ids"])
                 at = upto
 
     encoded = placed.select("doc_id", "__key", "__tie", F.col("text").cast("binary")).mapInArrow(encode, "doc_id bigint, key bigint, tie bigint, shard int, ids binary")
