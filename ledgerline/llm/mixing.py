@@ -76,7 +76,9 @@ def replicate(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source
     table = rates(docs, source_col, text_col, weights, total)
     known = lookup_join(docs.withColumn("__source", F.col(source_col)), table, ["__source"])
     name = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
-    inverted = lambda piece: F.size(F.filter("cdf", lambda c: c <= uniform(F.lit(str(seed)), piece.cast("string"), name))).cast("bigint")
+    # The uniform number is bound once per draw, not hashed again for every term it is compared to.
+    below = lambda u: F.size(F.filter("cdf", lambda c: c <= u)).cast("bigint")
+    inverted = lambda piece: F.transform(F.array(uniform(F.lit(str(seed)), piece.cast("string"), name)), below)[0]
     count = F.aggregate(F.sequence(F.lit(1).cast("bigint"), F.col("pieces")), F.lit(0).cast("bigint"), lambda a, k: a + inverted(k))
     counted = known.withColumn("copies", count).drop("__source", "pieces", "cdf").filter("copies > 0")
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
