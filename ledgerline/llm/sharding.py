@@ -14,6 +14,7 @@ twice (a table does).
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -27,6 +28,10 @@ SHARDS = 24
 PROBES = 64
 #: Bytes that one task of the exchange should receive; a shard of more is dealt as several ranges.
 RANGE_BYTES = 256 << 20
+#: Ranges of one shard at most: beyond, ranges grow (16 GB each at 100 TB in 24 shards, sorted with spill).
+SHARD_RANGES = 256
+#: Points of one round at most, whatever the number of splitters sought.
+ROUND_POINTS = 1 << 16
 OVERHEAD_BYTES = 8
 
 _LOW, _HIGH = -(1 << 63), (1 << 63) - 1
@@ -102,11 +107,12 @@ def find_splitters(sizes: DataFrame, marks: list[int], tolerances: list[float],
     done: list[tuple[Point, int, int] | None] = [None] * len(marks)
     while True:
         wanted: set[Point] = set()
+        share = max(2, min(probes, ROUND_POINTS // max(1, done.count(None))))
         for i, (lo, hi) in enumerate(state):
             if done[i] is not None:
                 continue
             near = min((lo, hi), key=lambda x: (abs(x[1] - marks[i]), -x[1]))
-            mids = _between(lo[0], hi[0], probes) if hi[2] - lo[2] > 1 else []
+            mids = _between(lo[0], hi[0], share) if hi[2] - lo[2] > 1 else []
             if abs(near[1] - marks[i]) <= tolerances[i] or not mids:
                 done[i] = near
             wanted.update(mids if done[i] is None else ())
@@ -114,15 +120,12 @@ def find_splitters(sizes: DataFrame, marks: list[int], tolerances: list[float],
             return done  # type: ignore[return-value]
         points = sorted(wanted)
         below = _histogram(sizes, points)
+        amounts = [b for b, _ in below]
         for i, (lo, hi) in enumerate(state):
             if done[i] is None:
-                for p, (b, n) in zip(points, below):
-                    if lo[0] < p < hi[0]:
-                        if b <= marks[i]:
-                            lo = (p, b, n)
-                        else:
-                            hi = (p, b, n)
-                            break
+                a, z = bisect_right(points, lo[0]), bisect_left(points, hi[0])
+                m = bisect_right(amounts, marks[i], a, z)  # the first point past the mark
+                lo, hi = (points[m - 1], *below[m - 1]) if m > a else lo, (points[m], *below[m]) if m < z else hi
                 state[i] = (lo, hi)
 
 
@@ -155,7 +158,7 @@ def shard_by_bytes(docs: DataFrame, key_col: str = "doc_id", text_col: str = "te
     placed = keyed(docs, key_col, text_col)
     sizes = materialise(placed.select(F.col("__key").alias("key"), F.col("__tie").alias("tie"), F.col("__size").alias("size")), "shard-sizes")
     total = sizes.agg(F.sum("size")).first()[0] or 0
-    per = max(1, -(-total // (shards * range_bytes)))
+    per = max(1, min(SHARD_RANGES, -(-total // (shards * range_bytes))))
     # Shard borders are sought to the tolerance, borders of ranges within a shard to a tenth of a range.
     n = shards * per
     marks = [Fraction(total * i, n) for i in range(1, n)]
@@ -164,16 +167,19 @@ def shard_by_bytes(docs: DataFrame, key_col: str = "doc_id", text_col: str = "te
     points = [s[0] for s in splitters]
     rows_below = [0, *[s[2] for s in splitters]]
 
-    @F.pandas_udf("int")
+    offsets = [rows_below[i] - rows_below[i - i % per] for i in range(n)]
+
+    @F.pandas_udf("range int, base bigint")
     def range_of(key, tie):
+        import numpy as np
         import pandas as pd
 
-        return pd.Series(_bins(key.to_numpy(), tie.to_numpy(), points).astype("int32"))
+        at = _bins(key.to_numpy(), tie.to_numpy(), points).astype("int32")
+        return pd.DataFrame({"range": at, "base": np.array(offsets, np.int64)[at]})
 
-    dealt = placed.withColumn("__range", range_of("__key", "__tie")).repartitionById(n, "__range").sortWithinPartitions("__key", "__tie")
+    dealt = placed.withColumn("__at", range_of("__key", "__tie")).withColumns({"__range": F.col("__at.range"), "__base": F.col("__at.base")})
+    dealt = dealt.repartitionById(n, "__range").sortWithinPartitions("__key", "__tie")
     # A range is one partition, sorted: the place within it is the id's low part.
-    offsets = [rows_below[i] - rows_below[i - i % per] for i in range(n)]
-    base = F.element_at(F.array(*[F.lit(x).cast("bigint") for x in offsets]), F.col("__range") + 1) if per > 1 else F.lit(0).cast("bigint")
     at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return dealt.select(*[f"`{c}`" for c in docs.columns], F.floor(F.col("__range") / per).cast("int").alias("shard"), (base + at).alias("slot"))
+    return dealt.select(*[f"`{c}`" for c in docs.columns], F.floor(F.col("__range") / per).cast("int").alias("shard"), (F.col("__base") + at).alias("slot"))
 

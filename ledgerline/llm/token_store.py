@@ -25,6 +25,8 @@ from .shared import filesystem, materialise, scratch_path, shuffle_width, small_
 
 END_ID = 1
 SHARD_BYTES = 64 << 20
+#: Shards at most: beyond, shards grow (6 GB of text each at 100 TB); payloads are streamed, so only a shard's index is in memory.
+MAX_SHARDS = 16_384
 MAGIC_IDS, MAGIC_INDEX = b"LLIDS001", b"LLMPH001"
 GAMMA = 2.0
 _MASK = (1 << 64) - 1
@@ -326,7 +328,7 @@ def write(docs: DataFrame, tokenizer_path: str, uri: str | None = None, id_col:
     placed = keyed(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")
     sizes = materialise(placed.select(F.col("__key").alias("key"), F.col("__tie").alias("tie"), F.col("__size").alias("size")), "token-sizes")
     total, rows = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
-    n = max(1, min(rows, max(-(-total // shard_bytes), shuffle_width(spark))))
+    n = max(1, min(rows, MAX_SHARDS, max(-(-total // shard_bytes), shuffle_width(spark))))
     points = [s[0] for s in find_splitters(sizes, [total * i // n for i in range(1, n)], [total / n / 20] * (n - 1), total)]
 
     def encode(batches: Iterator) -> Iterator:
