@@ -156,7 +156,7 @@ def _search_segment(row: dict, q: _Queries, slop: int):
     offsets = np.concatenate([[0], ends]).astype(np.int64)
     here = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
     local = pc.index_in(pa.array(q.terms, pa.large_binary()), value_set=here).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-    often = np.where(local >= 0, counts[local], 0)
+    often = np.where(local >= 0, counts[local], 0).astype(np.int64)
     lists: dict[int, np.ndarray] = {}
 
     def slots(term: int):
@@ -177,10 +177,12 @@ def _search_segment(row: dict, q: _Queries, slop: int):
             for j in order[w, :n]:
                 s = slots(words[j])
                 if start is None:
-                    start = s - j
-                    doc = np.searchsorted(doc_end, s, "right")
+                    # The rarest word may itself be off its place.
+                    off = np.arange(-reach, reach + 1)
+                    start = (s[:, None] - j + off).ravel()
+                    doc = np.repeat(np.searchsorted(doc_end, s, "right"), len(off))
                     # An exact window lies in one document; a near one may be anchored off its ends.
-                    ok = (start >= doc_start[doc]) & (start + n <= doc_end[doc]) if not reach else np.ones(len(s), bool)
+                    ok = (start >= doc_start[doc]) & (start + n <= doc_end[doc]) if not reach else np.ones(len(start), bool)
                 else:
                     low = start + j - reach if not reach else np.maximum(start + j - reach, doc_start[doc])
                     at = np.searchsorted(s, low)

@@ -29,7 +29,7 @@ CANDIDATE = rf"(?=[A-Za-z+/_=\-]{{0,80}}[0-9]){_RUN}"
 #: Words that keys do not consist of. Fixed values.
 DICTIONARY = ["access", "account", "admin", "aggregate", "alpha", "application", "array", "backend", "beta", "build", "cache", "change", "class", "client", "config", "connection", "container", "content", "controller", "default", "demo", "document", "dummy", "example", "factory", "field", "file", "function", "handler", "here", "image", "index", "insert", "instance", "internal", "key", "manager", "message", "method", "module", "name", "number", "object", "option", "page", "password", "placeholder", "process", "project", "release", "replace", "request", "response", "sample", "secret", "server", "service", "session", "string", "system", "table", "template", "test", "token", "update", "user", "value", "version", "window", "your"]
 _ASKS = r"(?i)(token|secret|passw|passphrase|api.?key|apikey|access.?key|private.?key|auth|bearer|credential)"
-_DENIES = r"(?i)(commit|sha-?1|sha-?256|md5|checksum|digest|hash|uuid|guid|revision|etag|example|sample|placeholder|dummy|version|version:|class|import|id)"
+_DENIES = r"(?i)(?<![a-z])(commit|sha-?1|sha-?256|md5|checksum|digest|hash|uuid|guid|revision|etag|example|sample|placeholder|dummy|version|class|import)(?![a-z])"
 _TRIAL = r"(?i)(test|example|sample|fixture|mock|docs?/|readme|demo)"
 
 FEATURES = ["f_length", "f_turns", "f_digits", "f_upper", "f_distinct", "f_vowel_pairs", "f_covered", "f_repeat", "f_asks", "f_denies", "f_trial", "f_assigned"]
@@ -57,7 +57,8 @@ def features(found: DataFrame) -> DataFrame:
     """Adds the forest's features to (value, before, after, path)."""
     v, n = F.col("value"), F.length("value").cast("double")
     share = lambda pattern: F.regexp_count(v, F.lit(pattern)) / n
-    context = F.concat_ws(" ", "before", "after")
+    # The word after counts if it is a plain word: addresses and links say little about what stands before them.
+    context = F.concat_ws(" ", "before", F.when(F.col("after").rlike(r"^\w+\W?$"), F.col("after")))
     flag = lambda c, pattern: F.coalesce(c.rlike(pattern), F.lit(False)).cast("double")
     # Between classes of characters: letter to digit, lower to upper and so on.
     turns = r"(?<=[a-z])(?=[A-Z0-9+/_=\-])|(?<=[A-Z])(?=[0-9+/_=\-])|(?<=[0-9])(?=[A-Za-z+/_=\-])|(?<=[+/_=\-])(?=[A-Za-z0-9])"
@@ -91,7 +92,7 @@ def generated_findings(spark: SparkSession, rows: int = TRAIN_ROWS) -> DataFrame
     denied = pick("deny", "commit ", "sha256: ", "md5 checksum ", "etag ", "revision ", "uuid ", "digest = ")
     path = pick("path", "src0", "web", "crawl", "src/app/config.py", "deploy/prod.env", "books", "forum")
     trial = pick("trial", "tests/fixtures/auth.py", "docs/readme", "examples/demo.txt", "mock/data")
-    upper = lambda c: F.when(F.pmod(F.col("id"), F.lit(5)) == 0, F.upper(c)).otherwise(c)
+    upper = lambda c: F.when(F.pmod(F.xxhash64(F.lit("u"), "id"), F.lit(5)) == 0, F.upper(c)).otherwise(c)
     kinds = [
         # value, before, path, label
         (upper(hexes("h").substr(F.lit(1), length(24, 48))), upper(asked), path, 1),
@@ -101,9 +102,11 @@ def generated_findings(spark: SparkSession, rows: int = TRAIN_ROWS) -> DataFrame
         (hexes("p").substr(F.lit(1), length(24, 40)), plain, path, 0),
         (F.concat_ws("_", word("w1"), word("w2"), word("w3"), digits), plain, path, 0),
         (F.concat(word("x1"), F.initcap(word("x2")), F.initcap(word("x3")), digits), pick("a2", "token = ", "call ", "the "), path, 0),
+        (F.concat(pick("verb", "get", "set", "make", "load", "new", "on", "is"), F.initcap(word("v1")), F.initcap(word("v2")), F.initcap(word("v3")), F.substring(digits, 1, 1)), pick("a3", "call ", "the ", "use ", "= "), path, 0),
         (F.concat(pick("ph", "your-api-key-here-", "example-token-value-", "placeholder-secret-", "replace-password-"), digits), asked, path, 0),
         (F.concat(F.repeat(pick("rep", "x", "0", "a", "1"), 20), digits), asked, path, 0),
         (hexes("t").substr(F.lit(1), length(24, 40)), F.concat(F.lit("example "), asked), trial, 0),
+        (F.rpad(F.abs(F.xxhash64(F.lit("card"), "id")).cast("string"), 16, "4").substr(F.lit(1), F.lit(16)), F.concat(F.when(F.pmod(F.xxhash64(F.lit("m"), "id"), F.lit(4)) == 0, F.lit("token = ")).otherwise(F.lit("")), plain), path, 0),
     ]
     kind = F.pmod(F.col("id"), F.lit(len(kinds)))
     chosen = None
