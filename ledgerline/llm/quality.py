@@ -22,7 +22,7 @@ FENCE = 6
 #: Documents from which a group's own sketch is trusted.
 GROUP_ROWS = 200
 #: Measure: its smallest spread, and whether low values are outliers too. Ratios in 1/10000, word length in 1/100 character.
-MEASURES = {"symbols": (100, False), "word_length": (50, True), "dup_lines": (500, False), "repeats": (500, False)}
+MEASURES = {"symbols": (100, False), "word_length": (50, True), "dup_lines": (1000, False), "repeats": (500, False)}
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 _BLANK = "' ' || char(9) || char(10) || char(11) || char(12) || char(13)"

@@ -20,7 +20,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = decontamination.build_index(_table(spark, sf_dir, "documents"))
-    return decontamination.verdicts(decontamination.search(index, _table(spark, sf_dir, "benchmark"))).drop("text_hash", "n_near_items")
+    return decontamination.verdicts(decontamination.search(index, _table(spark, sf_dir, "benchmark"), slop=0)).drop("text_hash", "n_near_items")
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
