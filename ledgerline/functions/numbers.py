@@ -118,11 +118,14 @@ def _judge(raw: Column, locale: Column, core: Column, value: Column) -> Column:
 
 def detect_scale(raw: Column) -> Column:
     """Multiplier of the scale word that ends a cell, else 1."""
-    word = F.lower(F.regexp_extract(raw, _SCALE, 1))
-    out = F.lit(1)
-    for name, mult in SCALE_WORDS.items():
-        out = F.when(word == name, F.lit(mult)).otherwise(out)
-    return out.cast("decimal(18,0)")
+
+    def multiplier(word: Column) -> Column:
+        out = F.lit(1)
+        for name, mult in SCALE_WORDS.items():
+            out = F.when(word == name, F.lit(mult)).otherwise(out)
+        return out.cast("decimal(18,0)")
+
+    return let(F.lower(F.regexp_extract(raw, _SCALE, 1)), multiplier)
 
 
 def scale_multiplier(name: Column) -> Column:
@@ -147,11 +150,10 @@ def normalise(raw: Column, locale: Column, unit: Column, monetary_scale: Column
     disclosure's scale), counts as they are. More errors: band (a percentage
     outside it), percent (a percent sign on another unit)."""
     scale = scale_multiplier(monetary_scale) if monetary_scale is not None else F.lit(10**6).cast("decimal(18,0)")
-    own, sign, money = detect_scale(raw), raw.contains("%"), unit.isin(MONETARY_UNITS)
-    cell = F.when(money & (own != 1), F.regexp_replace(raw, _SCALE, "")).otherwise(raw)
+    sign, money = raw.contains("%"), unit.isin(MONETARY_UNITS)
     low, high = (F.lit(b).cast("decimal(10,0)") for b in band)
 
-    def finish(parsed: Column) -> Column:
+    def finish(own: Column, parsed: Column) -> Column:
         value, error = parsed["value"], parsed["error"]
         # Powers of ten only, by multiplication: exact in decimals.
         in_millions = value * (F.when(own != 1, own).otherwise(scale) * F.lit("0.000001").cast("decimal(7,6)")).cast("decimal(12,6)")
@@ -162,7 +164,11 @@ def normalise(raw: Column, locale: Column, unit: Column, monetary_scale: Column
         final = F.when(money, in_millions.cast(WIDE)).when(unit == "RATIO", fraction.cast(WIDE)).otherwise(value)
         return let(fault, lambda e: _number(final, e))
 
-    return let(parse_decimal(cell, locale), finish)
+    def with_scale(own: Column) -> Column:
+        cell = F.when(money & (own != 1), F.regexp_replace(raw, _SCALE, "")).otherwise(raw)
+        return let(parse_decimal(cell, locale), lambda parsed: finish(own, parsed))
+
+    return let(detect_scale(raw), with_scale)
 
 
 def parse_canonical(raw: Column) -> Column:
