@@ -65,7 +65,7 @@ def sweep(spark: SparkSession, cells: DataFrame, docs: DataFrame, banks: DataFra
     the tally per bank. A document that fails is an error row, never the end
     of the sweep. Results are written to the store first, then the queue."""
     values, bad = extract_template(spark, cells, docs, secondary, decisions)
-    values = values.persist()  # every check reads them
+    values = values.persist()  # results and errors both read them
     results = reconcile_values(spark, values, "quarantine").persist()
     try:
         store.append(store.flatten(results, banks, run_id, extracted_at), store_path, quantise_confidence=True)
