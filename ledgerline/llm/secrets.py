@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 TRAIN_ROWS = 6000
 TREES, DEPTH, SEED = 24, 7, 9
 THRESHOLD = 0.5
+#: Candidates back to which the text of a word is a candidate's context, so that contexts of a long word stay in proportion to it.
+CONTEXT = 3
 
 _RUN = r"[A-Za-z0-9+/_=\-]{16,}"
 #: A run of at least 16 key-like characters with a digit in it.
@@ -36,21 +38,32 @@ FEATURES = ["f_length", "f_turns", "f_digits", "f_upper", "f_distinct", "f_vowel
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """(doc_id, nth, value, before, after, path): every candidate with up to
-    three words before it (and what precedes it in its own word) and the word
-    after. ``nth`` counts a document's candidate words from 0."""
+    """(doc_id, nth, value, before, after, path): every candidate, also of
+    several in one word. ``before`` has up to three words before the
+    candidate's word and what precedes it there, back to the third candidate
+    before it; ``after`` the text up to the word's next candidate, or the word
+    after. ``nth`` counts a document's candidates from 0."""
     text = F.col(text_col)
     some = docs.filter(text.rlike(CANDIDATE)).select(F.col(id_col).alias("doc_id"), F.col(path_col).cast("string").alias("path"), F.split(text, r"[\x20\x09-\x0D]+").alias("__w"))
     at = F.filter(F.sequence(F.lit(0), F.size("__w") - 1), lambda i: F.get("__w", i).rlike(CANDIDATE))
-    near = lambda i: F.struct(
-        F.get("__w", i).alias("word"),
+    word = lambda i: F.struct(
+        F.regexp_extract_all(F.get("__w", i), F.lit(CANDIDATE), F.lit(0)).alias("runs"),
+        F.split(F.get("__w", i), CANDIDATE, -1).alias("gaps"),
         F.concat_ws(" ", F.get("__w", i - 3), F.get("__w", i - 2), F.get("__w", i - 1)).alias("words_before"),
         F.coalesce(F.get("__w", i + 1), F.lit("")).alias("after"),
     )
-    found = some.select("doc_id", "path", F.posexplode(F.transform(at, near)).alias("nth", "c"))
-    value = F.regexp_extract("c.word", CANDIDATE, 0)
-    own = F.call_function("substring_index", F.col("c.word"), value, F.lit(1))
-    return found.select("doc_id", "nth", value.alias("value"), F.concat_ws(" ", "c.words_before", own).alias("before"), F.col("c.after").alias("after"), "path")
+
+    def run(w, k):
+        since = F.greatest(k - CONTEXT, F.lit(0))
+        own = F.zip_with(F.slice(w["gaps"], since + 1, k - since), F.slice(w["runs"], since + 1, k - since), lambda gap, value: F.concat(gap, value))
+        return F.struct(
+            F.get(w["runs"], k).alias("value"),
+            F.concat_ws(" ", F.when(since == 0, w["words_before"]), F.concat(F.array_join(own, ""), F.get(w["gaps"], k))).alias("before"),
+            F.when(k + 1 < F.size(w["runs"]), F.get(w["gaps"], k + 1)).otherwise(w["after"]).alias("after"),
+        )
+
+    runs = F.transform(F.transform(at, word), lambda w: F.transform(F.sequence(F.lit(0), F.size(w["runs"]) - 1), lambda k: run(w, k)))
+    return some.select("doc_id", "path", F.posexplode(F.flatten(runs)).alias("nth", "c")).select("doc_id", "nth", "c.value", "c.before", "c.after", "path")
 
 
 def features(found: DataFrame) -> DataFrame:
