@@ -290,7 +290,7 @@ def verdicts(found: DataFrame) -> DataFrame:
     word is hit and hit words are at least a twentieth of all."""
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
     ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
-    out = found.select("doc_id", "text_hash", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), F.size("near_items").cast("bigint").alias("n_near_items"))
+    out = found.select("doc_id", "text_hash", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), F.size("near_items").cast("bigint").alias("n_near_items"), "near_items")
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
