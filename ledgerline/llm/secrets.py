@@ -1,7 +1,7 @@
 """Secret scans, in DataFrame and SQL functions only.
 
-Candidates are long runs of key-like characters with a digit, found in whole
-texts. A random forest then removes false positives, from a candidate's
+Candidates are long runs of key-like characters, found in whole texts: with a
+digit, or where their word or the words before ask for a key. A random forest then removes false positives, from a candidate's
 length, its character transitions, how much of it dictionary words cover, its
 path and its neighbouring words. The forest is trained from labelled
 findings; without a table of such, from generated ones (``TRAIN_ROWS``), which
@@ -24,9 +24,10 @@ THRESHOLD = 0.5
 #: Candidates back to which the text of a word is a candidate's context, so that contexts of a long word stay in proportion to it.
 CONTEXT = 3
 
-_RUN = r"[A-Za-z0-9+/_=\-]{16,}"
-#: A run of at least 16 key-like characters with a digit in it.
-CANDIDATE = rf"(?=[A-Za-z+/_=\-]{{0,80}}[0-9]){_RUN}"
+#: A whole run of at least 16 key-like characters; the start of a run is tried once, so long runs are read in proportion.
+_RUN = r"(?<![A-Za-z0-9+/_=\-])[A-Za-z0-9+/_=\-]{16,}+"
+#: A run with a digit in it.
+CANDIDATE = r"(?<![A-Za-z0-9+/_=\-])(?=[A-Za-z+/_=\-]*+[0-9])[A-Za-z0-9+/_=\-]{16,}+"
 
 #: Words that keys do not consist of. Fixed values.
 DICTIONARY = ["access", "account", "admin", "aggregate", "alpha", "application", "array", "backend", "beta", "build", "cache", "change", "class", "client", "config", "connection", "container", "content", "controller", "default", "demo", "document", "dummy", "example", "factory", "field", "file", "function", "handler", "here", "image", "index", "insert", "instance", "internal", "key", "manager", "message", "method", "module", "name", "number", "object", "option", "page", "password", "placeholder", "process", "project", "release", "replace", "request", "response", "sample", "secret", "server", "service", "session", "string", "system", "table", "template", "test", "token", "update", "user", "value", "version", "window", "your"]
@@ -44,11 +45,12 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     before it; ``after`` the text up to the word's next candidate, or the word
     after. ``nth`` counts a document's candidates from 0."""
     text = F.col(text_col)
-    some = docs.filter(text.rlike(CANDIDATE)).select(F.col(id_col).alias("doc_id"), F.col(path_col).cast("string").alias("path"), F.split(text, r"[\x20\x09-\x0D]+").alias("__w"))
-    at = F.filter(F.sequence(F.lit(0), F.size("__w") - 1), lambda i: F.get("__w", i).rlike(CANDIDATE))
+    pattern = lambda i: F.when(F.concat_ws(" ", *[F.get("__w", i - k) for k in (3, 2, 1, 0)]).rlike(_ASKS), F.lit(_RUN)).otherwise(F.lit(CANDIDATE))
+    some = docs.filter(text.rlike(CANDIDATE) | text.rlike(_ASKS) & text.rlike(_RUN)).select(F.col(id_col).alias("doc_id"), F.col(path_col).cast("string").alias("path"), F.split(text, r"[\x20\x09-\x0D]+").alias("__w"))
+    at = F.filter(F.sequence(F.lit(0), F.size("__w") - 1), lambda i: F.get("__w", i).rlike(_RUN) & F.regexp_like(F.get("__w", i), pattern(i)))
     word = lambda i: F.struct(
-        F.regexp_extract_all(F.get("__w", i), F.lit(CANDIDATE), F.lit(0)).alias("runs"),
-        F.split(F.get("__w", i), CANDIDATE, -1).alias("gaps"),
+        F.regexp_extract_all(F.get("__w", i), pattern(i), F.lit(0)).alias("runs"),
+        F.split(F.get("__w", i), pattern(i), -1).alias("gaps"),
         F.concat_ws(" ", F.get("__w", i - 3), F.get("__w", i - 2), F.get("__w", i - 1)).alias("words_before"),
         F.coalesce(F.get("__w", i + 1), F.lit("")).alias("after"),
     )

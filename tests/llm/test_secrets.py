@@ -29,3 +29,9 @@ def test_contexts_of_a_long_word_stay_bounded(spark):
     rows = found(spark, "first words here " + ";".join(f"{KEY}{i:04d}" for i in range(2000))).collect()
     assert [r["value"] for r in rows] == [f"{KEY}{i:04d}" for i in range(2000)] and [r["nth"] for r in rows] == list(range(2000))
     assert rows[3]["before"].startswith("first words here ") and max(len(r["before"]) for r in rows) < 200
+
+
+def test_digitless_runs_where_a_key_is_asked_for_and_whole_long_runs(spark):
+    late = "a" * 85 + "7" + "b" * 3000
+    texts = ["password = correct-horse-battery-staple", "see the correct-horse-battery-staple", "token=abcdefghijklmnopqrst;x", f"value {late}", f"secret: abcdefghijklmnop,{KEY}"]
+    assert [(r["doc_id"], r["nth"], r["value"]) for r in found(spark, *texts).collect()] == [(0, 0, "correct-horse-battery-staple"), (2, 0, "token=abcdefghijklmnopqrst"), (3, 0, late), (4, 0, "abcdefghijklmnop"), (4, 1, KEY)]
