@@ -62,7 +62,8 @@ def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return quality.assess(_table(spark, sf_dir, "documents"), carry=["doc_id"]).select("doc_id", *counts, "base_failed", "kept")
+    found = quality.assess(_table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return found.select("doc_id", *counts, "base_failed", "kept", "group_rows", *quality.bounds_of(quality.MEASURES))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,43 +159,41 @@ FROM rows GROUP BY conv_id"""
 def _sql_quality() -> str:
     bucket = "(CASE WHEN v < 64 THEN v ELSE (length(bin(v)) - 6) * 32 + (v >> (length(bin(v)) - 6)) END)"
     top = "(CASE WHEN bucket < 64 THEN bucket ELSE ((bucket - 32 * (bucket // 32 - 1) + 1) << (bucket // 32 - 1)) - 1 END)"
-    floor = "CASE measure " + " ".join(f"WHEN '{k}' THEN {v[0]}" for k, v in quality.MEASURES.items()) + " END"
-    low = "CASE measure " + " ".join(f"WHEN '{k}' THEN {'true' if v[1] else 'false'}" for k, v in quality.MEASURES.items()) + " END"
+    rules = quality.MEASURES
+    case = lambda f: "CASE measure " + " ".join(f"WHEN '{k}' THEN {f(r)}" for k, r in rules.items()) + " END"
+    sketched = ", ".join(f"{scale} * greatest({part} - {rules[k].forgiven}, 0) // greatest({whole}, 1)" for k, (scale, part, whole) in quality._RATES.items())
+    wide = lambda tag, end: ", ".join(f"any_value({end}) FILTER (measure = '{k}') AS {tag}{k}_{end}" for k in rules)
+    blend = lambda k, end: f"(g.n * g.{k}_{end} + {quality.PRIOR_ROWS} * ((l.n * l.{k}_{end} + {quality.PRIOR_ROWS} * a.{k}_{end}) // (l.n + {quality.PRIOR_ROWS}))) // (g.n + {quality.PRIOR_ROWS})"
+    ends = [f"{blend(k, 'high')} * {r.margin} // 100 AS {k}_high" for k, r in rules.items()] + [f"{blend(k, 'low')} * 100 // {r.margin} AS {k}_low" for k, r in rules.items() if r.both]
+    fine = [f"v_{k} <= {k}_high" for k in rules] + [f"v_{k} >= {k}_low" for k, r in rules.items() if r.both]
+    values = ", ".join(f"{scale} * greatest({part} - {rules[k].forgiven}, 0) // greatest({whole}, 1) AS v_{k}" for k, (scale, part, whole) in quality._RATES.items())
     return f"""
-WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
-grams AS (SELECT doc_id, s, w[s] || ' ' || w[s + 1] || ' ' || w[s + 2] AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS s FROM w WHERE len(w) >= 3)),
-twice AS (SELECT doc_id, s FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, g) AS n FROM grams) WHERE n > 1),
-repeats AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([s, s + 1, s + 2]) AS p FROM twice) GROUP BY doc_id),
-lines AS (SELECT doc_id, count(*) AS n, count(DISTINCT l) AS u FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM w) WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+WITH w AS (SELECT row_number() OVER () AS row, doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+grams AS (SELECT row, s, w[s] || ' ' || w[s + 1] || ' ' || w[s + 2] AS g FROM (SELECT row, w, unnest(generate_series(1, len(w) - 2)) AS s FROM w WHERE len(w) >= 3)),
+twice AS (SELECT row, s FROM (SELECT row, s, count(*) OVER (PARTITION BY row, g) AS n FROM grams) WHERE n > 1),
+repeats AS (SELECT row, count(DISTINCT p) AS n FROM (SELECT row, unnest([s, s + 1, s + 2]) AS p FROM twice) GROUP BY row),
+lines AS (SELECT row, count(*) AS n, count(DISTINCT l) AS u FROM (SELECT row, unnest(string_split(text, chr(10))) AS l FROM w) WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY row),
 m AS (
-  SELECT w.doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(text) - length(regexp_replace(text, '[^\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
-    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(lines.n, 0) AS n_lines, CAST(coalesce(lines.n - lines.u, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words
-  FROM w LEFT JOIN repeats ON w.doc_id = repeats.doc_id LEFT JOIN lines ON w.doc_id = lines.doc_id
-),
-r AS (
-  SELECT doc_id, lang, source, measure, v, {bucket} AS bucket FROM (
-    SELECT doc_id, lang, source, unnest([{', '.join(f"'{k}'" for k in quality.MEASURES)}]) AS measure,
-      unnest([10000 * n_symbols // greatest(word_chars, 1), 100 * word_chars // greatest(n_words, 1), 10000 * n_dup_lines // greatest(n_lines, 1), 10000 * n_repeat_words // greatest(n_words, 1)]) AS v FROM m)
+  SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM (
+    SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(text) - length(regexp_replace(text, '[^\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+      CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(lines.n, 0) AS n_lines, CAST(coalesce(lines.n - lines.u, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words
+    FROM w LEFT JOIN repeats ON w.row = repeats.row LEFT JOIN lines ON w.row = lines.row)
 ),
+r AS (SELECT lang, source, measure, v, {bucket} AS bucket FROM (SELECT lang, source, unnest([{', '.join(f"'{k}'" for k in rules)}]) AS measure, unnest([{sketched}]) AS v FROM m WHERE NOT base_failed)),
 levels AS (SELECT 0 AS level, lang, source, measure, bucket FROM r UNION ALL SELECT 1, lang, NULL, measure, bucket FROM r UNION ALL SELECT 2, NULL, NULL, measure, bucket FROM r),
 counted AS (SELECT level, lang, source, measure, bucket, count(*) AS n FROM levels GROUP BY ALL),
 marks AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY bucket) AS seen, sum(n) OVER (PARTITION BY level, lang, source, measure) AS everything FROM counted),
 q AS (
-  SELECT level, lang, source, measure, max(everything) AS n, min({top}) FILTER (4 * seen >= everything) AS q1, min({top}) FILTER (4 * seen >= 2 * everything) AS q2, min({top}) FILTER (4 * seen >= 3 * everything) AS q3
+  SELECT level, lang, source, measure, CAST(max(everything) AS BIGINT) AS n, CAST(min({top}) FILTER (100 * seen >= everything * (100 - {case(lambda r: r.level)})) AS BIGINT) AS low, CAST(min({top}) FILTER (100 * seen >= everything * {case(lambda r: r.level)}) AS BIGINT) AS high
   FROM marks GROUP BY ALL
 ),
-t AS (SELECT *, q2 + {quality.FENCE} * greatest(q3 - q2, {floor}) AS high, q2 - {quality.FENCE} * greatest(q2 - q1, {floor}) AS low FROM q),
-judged AS (
-  SELECT r.doc_id, bool_and(r.v <= b.high AND (NOT ({low.replace('measure', 'r.measure', 1)}) OR r.v >= b.low)) AS fine
-  FROM r JOIN t a ON a.level = 0 AND a.lang IS NOT DISTINCT FROM r.lang AND a.source IS NOT DISTINCT FROM r.source AND a.measure = r.measure
-  JOIN t l ON l.level = 1 AND l.lang IS NOT DISTINCT FROM r.lang AND l.measure = r.measure
-  JOIN t b ON b.measure = r.measure AND b.level = CASE WHEN a.n >= {quality.GROUP_ROWS} THEN 0 WHEN l.n >= {quality.GROUP_ROWS} THEN 1 ELSE 2 END
-    AND (b.level = 2 OR b.lang IS NOT DISTINCT FROM r.lang) AND (b.level > 0 OR b.source IS NOT DISTINCT FROM r.source)
-  GROUP BY r.doc_id
+p AS (SELECT level, lang, source, any_value(n) AS n, {wide('', 'low')}, {wide('', 'high')} FROM q GROUP BY level, lang, source),
+t AS (
+  SELECT g.lang, g.source, g.n AS group_rows, {', '.join(ends)}
+  FROM p g JOIN p l ON g.level = 0 AND l.level = 1 AND l.lang IS NOT DISTINCT FROM g.lang JOIN p a ON a.level = 2
 )
-SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND fine AS kept
-FROM m JOIN judged ON m.doc_id = judged.doc_id"""
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {' AND '.join(fine)} AS kept, group_rows, {', '.join(quality.bounds_of(rules))}
+FROM (SELECT *, {values} FROM m) m LEFT JOIN t ON t.lang IS NOT DISTINCT FROM m.lang AND t.source IS NOT DISTINCT FROM m.source"""
 
 
 def _sql_licenses() -> str:

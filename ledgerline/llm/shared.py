@@ -89,6 +89,13 @@ def replace_columns(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[f"`{c}`" for c in df.columns if c.lower() not in clash])
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` under column names that clash with nothing, and the new name of
+    each old one."""
+    held = [f"__col_{i}" for i in range(len(df.columns))]
+    return df.toDF(*held), dict(zip(df.columns, held))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -33,6 +33,64 @@ def test_quality_rows_and_clean_documents(spark, odd, none):
     assert "Python" not in plan(quality.keep_good(df)) and "Pandas" not in plan(quality.keep_good(df))
 
 
+def test_sources_of_unlike_spread_get_unlike_thresholds(spark):
+    """Two sources, one with twice to many times the symbols, word lengths,
+    repeated lines and repeated windows of the other."""
+
+    def doc(i, heavy):
+        long, lines, phrase = ("extraordinarily", 6, 12) if heavy else ("of", 1, 2)
+        words = [f"{long}{(i * 37 + j * j) % 9973}" for j in range(120)]
+        words += [w for _ in range(2) for w in (f"again{i}x{k}" for k in range(phrase * (1 + i % 3)))]
+        words += [f"a${k}b{i}" for k in range((10 + i % 20) * (9 if heavy else 1))]
+        return " ".join(words) + "\n" + "\n".join(f"line {i} of {k}\nother {k} {i}" for k in range(10)) + f"\nsame {i}" * (1 + lines * (1 + i % 2))
+
+    rows = [(i, doc(i, i % 2), "en", f"s{i % 2}", 0) for i in range(1200)]
+    rows += [(5000, doc(1, 1), "en", "s0", 0), (5001, doc(1, 1), "en", "s1", 0)]
+    out = quality.assess(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"), carry=["doc_id", "source"]).collect()
+    level = {r["source"]: r for r in out}
+    for bound in quality.bounds_of(quality.MEASURES):
+        assert level["s1"][bound] > 1.2 * level["s0"][bound] > 0, bound
+    kept = {r["doc_id"]: r["kept"] for r in out}
+    assert not kept[5000] and kept[5001] and sum(kept[i] for i in range(1200)) == 1200  # a text is judged by its own source
+    assert {r["group_rows"] for r in out} == {601}
+
+
+def test_small_groups_lean_on_their_parents(spark):
+    """Thresholds against plain integer arithmetic, at group sizes from one document up."""
+    import random
+
+    rnd, counts = random.Random(4), []
+    for lang, source, n in [("en", "a", 1), ("en", "b", 7), ("en", None, 150), (None, "a", 30), ("de", "c", 2)]:
+        counts += [(lang, source, 100 + rnd.randrange(50), rnd.randrange(500, 900), rnd.randrange(60), 20, rnd.randrange(6), rnd.randrange(40)) for _ in range(n)]
+    counts += [("fr", "d", 10, 50, 0, 1, 0, 0)]  # fails the base rules
+    df = spark.createDataFrame(counts, "lang string, source string, n_words bigint, word_chars bigint, n_symbols bigint, n_lines bigint, n_dup_lines bigint, n_repeat_words bigint")
+    got = {(r["lang"], r["source"]): r for r in quality.thresholds(quality.sketch(df, "lang", "source")).collect()}
+    top = lambda v: v if v < 64 else ((v >> v.bit_length() - 6) + 1 << v.bit_length() - 6) - 1
+    rate = {
+        "symbols": lambda r: 10000 * max(r[4] - 3, 0) // r[3], "word_length": lambda r: 100 * r[3] // r[2],
+        "dup_lines": lambda r: 10000 * r[6] // r[5], "repeats": lambda r: 10000 * r[7] // r[2],
+    }
+
+    def quantile(rows, measure, percent):
+        values = sorted(top(rate[measure](r)) for r in rows)
+        return values[max(0, -(-percent * len(values) // 100) - 1)]
+
+    good = [r for r in counts if r[2] >= 50]
+    assert set(got) == {(r[0], r[1]) for r in good}
+    for (lang, source), row in got.items():
+        own, same = [r for r in good if r[:2] == (lang, source)], [r for r in good if r[0] == lang]
+        mix = lambda m, p: (len(own) * quantile(own, m, p) + 100 * ((len(same) * quantile(same, m, p) + 100 * quantile(good, m, p)) // (len(same) + 100))) // (len(own) + 100)  # noqa: B023, E731
+        assert row["group_rows"] == len(own) and row["symbols_high"] == mix("symbols", 75) * 4 and row["dup_lines_high"] == mix("dup_lines", 99) * 2 and row["repeats_high"] == mix("repeats", 99) * 2
+        assert row["word_length_high"] == mix("word_length", 90) * 120 // 100 and row["word_length_low"] == mix("word_length", 10) * 100 // 120
+
+
+def test_kept_rows_keep_all_columns(spark, odd):
+    text = " ".join(f"word{j}" for j in range(60))
+    df = spark.createDataFrame([(1, text, "en", "s", 9, "no", "mine", 4)] * 2, "doc_id bigint, text string, lang string, source string, n_words int, `Kept` string, symbols_high string, `__lang` int")
+    assert [tuple(r) for r in quality.keep_good(df).collect()] == [(1, text, "en", "s", 9, "no", "mine", 4)] * 2 and quality.keep_good(df).schema == df.schema
+    assert quality.keep_good(odd).columns == odd.columns
+
+
 def test_sketch_buckets(spark):
     df = spark.range(0, 20000, 7).withColumn("b", quality.bucket_of(F.col("id"))).withColumn("top", quality.bucket_top(F.col("b")))
     rows = df.collect()
