@@ -94,10 +94,11 @@ def _present(schema: T.StructType) -> dict[str, Column]:
     return out
 
 
-def fingerprint(schema: T.StructType) -> Column:
-    """Hash of the sorted nested field paths present in a record."""
+def fingerprint(schema: T.StructType, among: Sequence[str] | None = None) -> Column:
+    """Hash of the sorted nested field paths present in a record; ``among``: of these only."""
     paths = _present(schema)
-    return F.sha2(F.concat_ws("|", *[F.when(paths[p], F.lit(p)) for p in sorted(paths)]), 256)
+    wanted = sorted(p for p in paths if among is None or p in among)
+    return F.sha2(F.concat_ws("|", *[F.when(paths[p], F.lit(p)) for p in wanted]), 256)
 
 
 def _turns(m: Mapping, schema: T.StructType) -> Column | None:
@@ -116,10 +117,18 @@ def _turns(m: Mapping, schema: T.StructType) -> Column | None:
 
 def canonical_turns(records: DataFrame, id_cols: Sequence[str], mappings: Sequence[Mapping] = MAPPINGS) -> DataFrame:
     """``id_cols``, ``layout`` (mapping's name; null if no mapping knows the
-    fingerprint), ``fingerprint``, ``turns``. Unknown layouts have no turns but
-    keep their row, so that their fingerprints can be counted and mapped."""
+    fingerprint), ``fingerprint``, ``turns``.
+
+    The fingerprint that selects a mapping is of the paths that mappings name,
+    so columns beside a record (a source, a licence) do not change it. Unknown
+    layouts have no turns but keep their row, under the fingerprint of all
+    their paths, so that these can be counted and mapped. Null texts are
+    empty; texts of any length are taken whole; an empty table gives an empty
+    result. A record with the fields of two layouts is of unknown layout.
+    """
     body = T.StructType([f for f in records.schema.fields if f.name not in id_cols])
-    marked = records.withColumn("__fingerprint", fingerprint(body))
+    named = {p for m in mappings for p in m.paths()}
+    marked = records.withColumn("__fingerprint", fingerprint(body, named))
     layout, turns = F.lit(None).cast("string"), F.array().cast(_TURNS)
     for m in reversed(list(mappings)):
         made = _turns(m, body)
@@ -127,13 +136,15 @@ def canonical_turns(records: DataFrame, id_cols: Sequence[str], mappings: Sequen
             known = F.col("__fingerprint").isin(m.fingerprints())
             layout = F.when(known, F.lit(m.name)).otherwise(layout)
             turns = F.when(known, made.cast(_TURNS)).otherwise(turns)
-    return marked.select(*id_cols, layout.alias("layout"), F.col("__fingerprint").alias("fingerprint"), turns.alias("turns"))
+    mark = F.when(layout.isNotNull(), F.col("__fingerprint")).otherwise(fingerprint(body))
+    return marked.select(*id_cols, layout.alias("layout"), mark.alias("fingerprint"), turns.alias("turns"))
 
 
 def records_from_rows(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """Rows by turn to one record per conversation with a ``messages`` list,
     ordered by turn (null first), then role and text, so ties and repeated
-    rows have one order. A null conversation id is one conversation."""
+    rows have one order. A null conversation id is one conversation. A
+    conversation is one record and later one text, so its rows meet in one task."""
     listed = F.sort_array(F.collect_list(F.struct(F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("content"))))
     grouped = rows.groupBy(F.col(conv_col).alias("conv_id")).agg(listed.alias("__rows"))
     return grouped.select("conv_id", F.transform("__rows", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages"))

@@ -5,9 +5,12 @@ dictionary of its words and, per word, the ascending list of slots at which
 it occurs (positions in the segment's word stream). It is stored as a table
 in the shared folder and serves any number of benchmarks.
 
-A search ships the benchmark's windows to the segments, in blocks of bounded
-size. Within a segment each window starts from its rarest word: that word's
-slots minus its offset are candidate starts, which are intersected with the
+A search writes the benchmark's windows into files of bounded size in the
+shared folder, which every task streams past its segments one at a time: the
+driver holds their paths only, a task one file, and the index is read once
+however many there are. Within a segment only windows all of whose words occur
+there are looked at. Each starts from its rarest word: that word's slots minus
+its offset are candidate starts, which are intersected with the
 offset-adjusted lists of the other words, rarest first. What remains is an
 exact phrase match; with ``slop`` > 0 a word may lie that many words off its
 place, a proximity match. No posting and no text is shuffled.
@@ -20,12 +23,12 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialise, replace_columns, small_batches
+from .shared import filesystem, materialise, numbered, scratch_path, small_batches, write_atomically
 
 WINDOW = 13
 #: Text bytes a segment gathers before it is indexed; a longer document is a segment by itself.
 SEGMENT_BYTES = 8 << 20
-#: Text bytes of benchmark items that travel to the executors at once; more items are searched block by block.
+#: Text bytes of benchmark items in one file (or one item); more items make more files.
 BLOCK_BYTES = 16 << 20
 SLOP = 2
 
@@ -114,94 +117,187 @@ def windows_of(text: bytes | None, width: int = WINDOW) -> list[list[bytes]]:
     return [w[i : i + width] for i in range(max(1, len(w) - width + 1))] if w else []
 
 
+def _block_bytes(items: list[tuple[int | None, bytes | None]]) -> bytes:
+    """A file of items: their ids and lengths, their words by number, and the words."""
+    import numpy as np
+    import pyarrow as pa
+
+    split = [tokens(text) for _, text in items]
+    coded = pa.array([w for words in split for w in words], pa.binary()).dictionary_encode()
+    table = {
+        "ids": pa.array([[i for i, _ in items]], pa.list_(pa.int64())),
+        "sizes": pa.array([[len(w) for w in split]], pa.list_(pa.int64())),
+        "codes": pa.array([coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)], pa.list_(pa.int32())),
+        "terms": pa.array([coded.dictionary.to_pylist()], pa.list_(pa.binary())),
+    }
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_pydict(table)
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
 class _Queries:
-    """A block of windows as arrays: words by number, per window its words and its item."""
+    """The windows of a file as arrays: words by number, per window its words and its items."""
 
-    def __init__(self, items: list[tuple[int | None, bytes | None]], width: int):
+    def __init__(self, data: bytes, width: int):
         import numpy as np
+        import pyarrow as pa
 
-        numbers: dict[bytes, int] = {}
-        seen: dict[tuple, list] = {}
-        for item, text in items:
-            for win in windows_of(text, width):
-                key = tuple(numbers.setdefault(w, len(numbers)) for w in win)
-                seen.setdefault(key, []).append(item)
-        self.terms = list(numbers)
+        row = pa.ipc.open_stream(data).read_next_batch()
+        column = lambda name: row.column(name).values
+        self.terms = column("terms").cast(pa.large_binary())
+        sizes, codes = column("sizes").to_numpy(), column("codes").to_numpy().astype(np.int64)
         self.width = width
-        self.words = np.full((len(seen), width), -1, np.int64)
-        for i, key in enumerate(seen):
-            self.words[i, : len(key)] = key
-        self.lengths = np.array([len(k) for k in seen], np.int64)
-        self.items = [sorted({x for x in v if x is not None}) for v in seen.values()]
+        begins = np.cumsum(sizes) - sizes
+        per = np.where(sizes > 0, np.maximum(1, sizes - width + 1), 0)  # windows of each item
+        owner = np.repeat(np.arange(len(sizes)), per)
+        at = np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per) + np.repeat(begins, per)
+        lengths = np.minimum(sizes[owner], width)
+        place = at[:, None] + np.arange(width)
+        inside = np.arange(width) < lengths[:, None]
+        words = np.where(inside, np.append(codes, -1)[np.where(inside, place, -1)], -1)
+        self.words, which = np.unique(words, axis=0, return_inverse=True) if len(words) else (words, np.zeros(0, np.int64))
+        self.lengths = (self.words >= 0).sum(axis=1)
+        ids = column("ids").to_pylist()
+        self.items: list[set] = [set() for _ in self.lengths]
+        for w, o in zip(which.ravel().tolist(), owner.tolist()):
+            if ids[o] is not None:
+                self.items[w].add(ids[o])
+
+
+#: The file read last in this Python process: of a benchmark of one file every task parses it once per worker.
+_last: dict[tuple, _Queries] = {}
+
+
+def _queries(uri: str, width: int) -> _Queries:
+    if (uri, width) not in _last:
+        store, path = filesystem(uri)
+        with store.open_input_stream(path) as f:
+            found = _Queries(f.read(), width)
+        _last.clear()
+        _last[uri, width] = found
+    return _last[uri, width]
+
+
+def store_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> list[str]:
+    """Write the benchmark into files of at most ``block_bytes`` of text (or one item); their paths."""
+    small_batches(items.sparkSession)
+    folder = scratch_path(items.sparkSession, "benchmark")
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        part, k, block, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def close():
+            path = f"{folder}/items-{part:06d}-{k:06d}"
+            write_atomically(path, iter([_block_bytes(block)]))
+            return pa.RecordBatch.from_arrays([pa.array([path])], names=["path"])
+
+        for batch in batches:
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = text.as_py()
+                if block and size + len(text or b"") > block_bytes:
+                    yield close()
+                    block, size, k = [], 0, k + 1
+                block.append((i, text))
+                size += len(text or b"")
+        if block:
+            yield close()
+
+    source = items.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("binary"))
+    return sorted(r["path"] for r in materialise(source.mapInArrow(run, "path string"), "benchmark-files").collect())
+
+
+class _Segment:
+    """One index row, decoded."""
 
+    def __init__(self, row: dict):
+        import numpy as np
+        import pyarrow as pa
+
+        lengths = np.array(row["n_words"], np.int64)
+        self.doc_end = np.cumsum(lengths)
+        self.doc_start = self.doc_end - lengths
+        ends = _unpack(row["term_ends"], "<i8")
+        self.counts, self.gaps = _unpack(row["counts"], "<i4"), _unpack(row["postings"], "<i4")
+        self.first = np.cumsum(self.counts, dtype=np.int64) - self.counts
+        offsets = np.concatenate([[0], ends]).astype(np.int64)
+        self.terms = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(_unpack(row["terms"], "u1"))])
+        self.lists: dict[int, object] = {}
+
+    def slots(self, term: int):
+        """The ascending slots of a word of this segment."""
+        import numpy as np
+
+        if term not in self.lists:
+            at = self.first[term]
+            self.lists[term] = np.cumsum(self.gaps[at : at + self.counts[term]], dtype=np.int64)
+        return self.lists[term]
 
-def _search_segment(row: dict, q: _Queries, slop: int):
+
+def _near(segment: _Segment, terms, order, n: int, reach: int):
+    """(start, document) of each place at which all words of a window lie at
+    most ``reach`` words off theirs."""
+    import numpy as np
+
+    doc_start, doc_end, start = segment.doc_start, segment.doc_end, None
+    for j in order:
+        s = segment.slots(int(terms[j]))
+        if start is None:
+            # The rarest word may itself be off its place.
+            off = np.arange(-reach, reach + 1)
+            start = (s[:, None] - j + off).ravel()
+            doc = np.repeat(np.searchsorted(doc_end, s, "right"), len(off))
+            # An exact window lies in one document; a near one may be anchored off its ends.
+            ok = (start >= doc_start[doc]) & (start + n <= doc_end[doc]) if not reach else np.ones(len(start), bool)
+        else:
+            low = start + j - reach if not reach else np.maximum(start + j - reach, doc_start[doc])
+            at = np.searchsorted(s, low)
+            got = s[np.minimum(at, len(s) - 1)]
+            ok = (at < len(s)) & (got <= np.minimum(start + j + reach, doc_end[doc] - 1))
+        start, doc = start[ok], doc[ok]
+        if not len(start):
+            break
+    return start, doc
+
+
+def _search_segment(row: dict, blocks: Iterator[_Queries], slop: int):
     """Per document: merged hit spans (word offsets), items with an exact
     window, items with a window within ``slop``."""
     import numpy as np
-    import pyarrow as pa
     import pyarrow.compute as pc
 
-    lengths = np.array(row["n_words"], np.int64)
-    doc_end = np.cumsum(lengths)
-    doc_start = doc_end - lengths
-    spans: list[list] = [[] for _ in lengths]
-    exact: list[set] = [set() for _ in lengths]
-    close: list[set] = [set() for _ in lengths]
-    ends = _unpack(row["term_ends"], "<i8")
-    if not len(ends) or not len(q.lengths):
+    segment = _Segment(row)
+    doc_start, doc_end = segment.doc_start, segment.doc_end
+    n_docs = len(doc_end)
+    spans: list[list] = [[] for _ in range(n_docs)]
+    exact: list[set] = [set() for _ in range(n_docs)]
+    close: list[set] = [set() for _ in range(n_docs)]
+    if not len(segment.terms):
         return spans, exact, close
-    body, counts, gaps = _unpack(row["terms"], "u1"), _unpack(row["counts"], "<i4"), _unpack(row["postings"], "<i4")
-    first = np.cumsum(counts, dtype=np.int64) - counts
-    offsets = np.concatenate([[0], ends]).astype(np.int64)
-    here = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
-    local = pc.index_in(pa.array(q.terms, pa.large_binary()), value_set=here).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-    often = np.where(local >= 0, counts[local], 0).astype(np.int64)
-    lists: dict[int, np.ndarray] = {}
-
-    def slots(term: int):
-        if term not in lists:
-            at = first[local[term]]
-            lists[term] = np.cumsum(gaps[at : at + often[term]], dtype=np.int64)
-        return lists[term]
-
-    used = q.words >= 0
-    rarity = np.where(used, often[q.words], np.iinfo(np.int64).max)
-    order = np.argsort(rarity, axis=1, kind="stable")
-    hit = np.zeros(int(doc_end[-1]) + 1, np.int64)
-    some = False
-    for w in np.flatnonzero(rarity.min(axis=1) > 0):
-        n, words = int(q.lengths[w]), q.words[w]
-        for reach in {0, slop}:
-            start = None
-            for j in order[w, :n]:
-                s = slots(words[j])
-                if start is None:
-                    # The rarest word may itself be off its place.
-                    off = np.arange(-reach, reach + 1)
-                    start = (s[:, None] - j + off).ravel()
-                    doc = np.repeat(np.searchsorted(doc_end, s, "right"), len(off))
-                    # An exact window lies in one document; a near one may be anchored off its ends.
-                    ok = (start >= doc_start[doc]) & (start + n <= doc_end[doc]) if not reach else np.ones(len(start), bool)
-                else:
-                    low = start + j - reach if not reach else np.maximum(start + j - reach, doc_start[doc])
-                    at = np.searchsorted(s, low)
-                    got = s[np.minimum(at, len(s) - 1)]
-                    ok = (at < len(s)) & (got <= np.minimum(start + j + reach, doc_end[doc] - 1))
-                start, doc = start[ok], doc[ok]
-                if not len(start):
-                    break
-            if not len(start):
-                continue
-            found = np.unique(doc)
-            for d in found:
-                close[d].update(q.items[w])
-            if not reach:
-                for d in found:
-                    exact[d].update(q.items[w])
-                np.add.at(hit, start, 1)
-                np.add.at(hit, start + n, -1)
-                some = True
+    hit, some = np.zeros(int(doc_end[-1]) + 1, np.int64), False
+    for q in blocks:
+        if not len(q.lengths):
+            continue
+        local = pc.index_in(q.terms, value_set=segment.terms).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        often = np.where(local >= 0, segment.counts[local], 0).astype(np.int64)
+        rarity = np.where(q.words >= 0, often[q.words], np.iinfo(np.int64).max)
+        order = np.argsort(rarity, axis=1, kind="stable")
+        for w in np.flatnonzero(rarity.min(axis=1) > 0):
+            n, terms = int(q.lengths[w]), local[q.words[w]]
+            for reach in {0, slop}:
+                start, doc = _near(segment, terms, order[w, :n], n, reach)
+                for d in np.unique(doc):
+                    close[d] |= q.items[w]
+                    if not reach:
+                        exact[d] |= q.items[w]
+                if not reach and len(start):
+                    np.add.at(hit, start, 1)
+                    np.add.at(hit, start + n, -1)
+                    some = True
     if some:
         on = np.cumsum(hit) > 0
         edge = np.flatnonzero(np.diff(np.concatenate([[False], on, [False]]).astype(np.int8)))
@@ -218,19 +314,6 @@ def _search_segment(row: dict, q: _Queries, slop: int):
 _FOUND = "segment string, at int, doc_id bigint, text_hash bigint, n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<bigint>, near_items array<bigint>"
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list]:
-    """Benchmark items on the driver, at most ``block_bytes`` of text (or one item) at a time."""
-    block, size = [], 0
-    for r in items.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("binary")).toLocalIterator():
-        text = bytes(r[1]) if r[1] is not None else None
-        if block and size + len(text or b"") > block_bytes:
-            yield block
-            block, size = [], 0
-        block.append((r[0], text))
-        size += len(text or b"")
-    yield block
-
-
 def search(index: DataFrame, items: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WINDOW, slop: int = SLOP, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per indexed document: ``segment``, ``at`` (its place there),
     ``doc_id``, ``text_hash``, ``n_words``, ``spans`` (merged runs of words
@@ -240,65 +323,43 @@ def search(index: DataFrame, items: DataFrame, id_col: str = "item_id", text_col
     Items with a null id hit words but cannot be listed; repeated items count
     once. No items: nothing is hit.
     """
+    paths = store_items(items, id_col, text_col, block_bytes)
     small_batches(index.sparkSession)
-    spark = index.sparkSession
-
-    def over(block: list) -> DataFrame:
-        shipped = spark.sparkContext.broadcast(block)
-
-        def run(batches: Iterator) -> Iterator:
-            import pyarrow as pa
-
-            q = _Queries(shipped.value, width)
-            kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            for batch in batches:
-                for row in batch.to_pylist():
-                    spans, exact, close = _search_segment(row, q, slop)
-                    n = len(spans)
-                    spans = [[{"start": a, "end": b} for a, b in s] for s in spans]
-                    columns = [[row["segment"]] * n, range(n), row["doc_ids"], row["hashes"], row["n_words"], spans, [sorted(x) for x in exact], [sorted(x) for x in close]]
-                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, kinds)], names=["segment", "at", "doc_id", "text_hash", "n_words", "spans", "items", "near_items"])
-
-        return index.mapInArrow(run, _FOUND)
-
-    parts = [over(b) for b in _blocks(items, id_col, text_col, block_bytes)]
-    if len(parts) == 1:
-        return parts[0]
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
-    merged = found.groupBy("segment", "at").agg(
-        F.first("doc_id").alias("doc_id"),
-        F.first("text_hash").alias("text_hash"),
-        F.first("n_words").alias("n_words"),
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("near_items")))).alias("near_items"),
-    )
-    # Spans of different blocks may overlap: merge them in order.
-    union = F.expr(
-        "aggregate(spans, cast(array() as array<struct<start:bigint,end:bigint>>), (a, s) -> "
-        "if(size(a) > 0 and element_at(a, -1).end >= s.start, "
-        "concat(slice(a, 1, size(a) - 1), array(named_struct('start', element_at(a, -1).start, 'end', greatest(element_at(a, -1).end, s.end)))), "
-        "concat(a, array(s))))"
-    )
-    return merged.withColumn("spans", union)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        for batch in batches:
+            for row in batch.to_pylist():
+                spans, exact, close = _search_segment(row, (_queries(p, width) for p in paths), slop)
+                n = len(spans)
+                spans = [[{"start": a, "end": b} for a, b in s] for s in spans]
+                columns = [[row["segment"]] * n, range(n), row["doc_ids"], row["hashes"], row["n_words"], spans, [sorted(x) for x in exact], [sorted(x) for x in close]]
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, kinds)], names=["segment", "at", "doc_id", "text_hash", "n_words", "spans", "items", "near_items"])
+
+    return index.mapInArrow(run, _FOUND)
 
 
 def verdicts(found: DataFrame) -> DataFrame:
     """Counts and the contamination verdict per document: contaminated if any
     word is hit and hit words are at least a twentieth of all."""
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
-    ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
-    out = found.select("doc_id", "text_hash", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), F.size("near_items").cast("bigint").alias("n_near_items"), "near_items")
+    digest = lambda ids: F.sha2(F.array_join(F.array_sort(F.transform(ids, lambda x: x.cast("string"))), ","), 256)
+    out = found.select(
+        "doc_id", "text_hash", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"), digest("items").alias("items_sha256"),
+        F.size("near_items").cast("bigint").alias("n_near_items"), digest("near_items").alias("near_items_sha256"), "near_items",
+    )
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that are not contaminated, columns as they were. Rows
-    are told apart by id and text, so repeated ids are judged by their texts."""
-    docs = replace_columns(docs, ["__hash"])
-    found = verdicts(search(build_index(docs, id_col, text_col), items, slop=0))
+    """The documents that are not contaminated, columns as they were, whatever
+    they are called. Rows are told apart by id and text, so repeated ids are
+    judged by their texts. Null, empty and wordless texts stay. The rule
+    counts words of exact occurrences, so proximity is not searched here."""
+    held, name = numbered(docs)
+    found = verdicts(search(build_index(held, name[id_col], name[text_col]), items, slop=0))
     bad = materialise(found.filter("contaminated").select(F.col("doc_id").alias("__bad_id"), F.col("text_hash").alias("__bad_hash")).distinct(), "contaminated")
-    keyed = docs.withColumn("__hash", F.xxhash64(F.col(text_col)))
-    return keyed.join(bad, keyed[id_col].cast("bigint").eqNullSafe(bad["__bad_id"]) & (keyed["__hash"] == bad["__bad_hash"]), "left_anti").drop("__hash")
+    same = held[name[id_col]].cast("bigint").eqNullSafe(bad["__bad_id"]) & (F.xxhash64(held[name[text_col]]) == bad["__bad_hash"])
+    return held.join(bad, same, "left_anti").toDF(*docs.columns)

@@ -19,19 +19,55 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = decontamination.build_index(_table(spark, sf_dir, "documents"))
-    return decontamination.verdicts(decontamination.search(index, _table(spark, sf_dir, "benchmark"), slop=0)).drop("text_hash", "n_near_items", "near_items")
-
-
-def op1_near_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns of op1_decontamination, then the items with a window within ``decontamination.SLOP``."""
+    """Exact matches, then the items with a window within ``decontamination.SLOP``."""
     index = decontamination.build_index(_table(spark, sf_dir, "documents"))
     found = decontamination.verdicts(decontamination.search(index, _table(spark, sf_dir, "benchmark")))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near_items", "near_items")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near_items", "near_items_sha256")
+
+
+#: Layouts that a conversation of certain roles may take; any other: the first two.
+_LAYOUTS = {
+    ("user", "assistant"): ["messages", "conversations", "prompt-response", "prompt-completion", "instruction-output", "question-answer"],
+    ("system", "user", "assistant"): ["messages", "conversations", "prompt-response"],
+    ("user", "user", "assistant"): ["messages", "conversations", "instruction-output"],
+}
+_FLAT = {
+    "prompt-response": {"system": "system", "user": "prompt", "assistant": "response"},
+    "prompt-completion": {"user": "prompt", "assistant": "completion"},
+    "instruction-output": {"user": "instruction", "input": "input", "assistant": "output"},
+    "question-answer": {"user": "question", "assistant": "answer"},
+}
+
+
+def _unlike_records(rows: DataFrame) -> DataFrame:
+    """Conversations as records of all six layouts, dealt by their ids."""
+    listed = chat.records_from_rows(rows)
+    roles = F.transform("messages", lambda m: m["role"])
+    k = F.pmod(F.coalesce("conv_id", F.lit(0)), F.lit(6))
+    renamed = F.coalesce(F.exists("messages", lambda m: m["role"].isin("human", "gpt")), F.lit(False))
+    choice = F.when(~renamed & (k % 2 == 1), "conversations").otherwise("messages")
+    for shape, layouts in _LAYOUTS.items():
+        same = F.coalesce(roles == F.array(*[F.lit(r) for r in shape]), F.lit(False))
+        choice = F.when(same, F.element_at(F.array(*[F.lit(x) for x in layouts]), (k % len(layouts) + 1).cast("int"))).otherwise(choice)
+    dealt = listed.withColumn("__layout", choice)
+    is_ = lambda name: F.col("__layout") == name
+    outer = {"user": "human", "assistant": "gpt"}
+    renamed_role = lambda r: F.coalesce(*[F.when(r == a, b) for a, b in outer.items()], r)
+    said = {
+        "messages": F.when(is_("messages"), F.col("messages")),
+        "conversations": F.when(is_("conversations"), F.transform("messages", lambda m: F.struct(renamed_role(m["role"]).alias("from"), m["content"].alias("value")))),
+    }
+    two_users = F.size("messages") == 3
+    for name, columns in _FLAT.items():
+        for role, column in columns.items():
+            place = {"system": F.when(two_users, 0), "input": F.when(two_users, 1), "assistant": F.size("messages") - 1}.get(role, F.when(F.lit(name == "instruction-output"), 0).otherwise(F.size("messages") - 2))
+            text = F.when(is_(name), F.get("messages", place)["content"])
+            said[column] = F.coalesce(said[column], text) if column in said else text
+    return dealt.select("conv_id", *[v.alias(c) for c, v in said.items()])
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = chat.records_from_rows(_table(spark, sf_dir, "conversations"))
+    rows = _unlike_records(_table(spark, sf_dir, "conversations"))
     said = "</s>[INST] ok [/INST]"
     extra = spark.range(1).select(F.lit(-7).cast("bigint").alias("conv_id"), F.lit(said).alias("prompt"), F.lit(said).alias("response"))
     records = rows.unionByName(extra, allowMissingColumns=True)
@@ -104,7 +140,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_decontamination, op1_near_matches, op2_chat_formatting, op3_token_output, op4_quality_rules, op5_sharding, op6_simhash, op7_warc, op8_license_scan, op9_secret_scan, op10_source_mixing]
+    named = [op1_decontamination, op2_chat_formatting, op3_token_output, op4_quality_rules, op5_sharding, op6_simhash, op7_warc, op8_license_scan, op9_secret_scan, op10_source_mixing]
     return {f.__name__: f for f in named} | {"pipeline": pipeline}
 
 
@@ -131,29 +167,49 @@ grams AS (
 ),
 found AS (SELECT g.doc_id, g.s, g.n, win.item_id FROM grams g JOIN win ON g.gram = win.gram AND g.n = win.n),
 hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(s, s + n - 1)) AS p FROM found) GROUP BY doc_id),
-ids AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS list FROM found GROUP BY doc_id)
+ids AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS list FROM found GROUP BY doc_id),
+seek AS (SELECT item_id, s, least(len(w), 13) AS n, CASE WHEN len(w) < 13 THEN w ELSE w[s:s + 12] END AS ws FROM (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 12))) AS s FROM b WHERE len(w) > 0 AND item_id IS NOT NULL)),
+word AS (SELECT item_id, s, n, unnest(ws) AS x, unnest(range(len(ws))) AS j FROM seek),
+pos AS (SELECT doc_id, x, p FROM (SELECT doc_id, unnest(w) AS x, unnest(range(len(w))) AS p FROM d) WHERE x IN (SELECT x FROM word)),
+freq AS (SELECT x, count(*) AS often FROM pos GROUP BY x),
+rare AS (SELECT item_id, s, n, arg_min(x, (often, j)) AS x, arg_min(j, (often, j)) AS j FROM word JOIN freq USING (x) GROUP BY item_id, s, n HAVING count(*) = n),
+starts AS (SELECT DISTINCT doc_id, item_id, s, n, unnest(generate_series(p - j - {decontamination.SLOP}, p - j + {decontamination.SLOP})) AS place FROM rare JOIN pos USING (x)),
+close AS (
+  SELECT DISTINCT doc_id, item_id FROM (
+    SELECT starts.doc_id, starts.item_id, starts.s, starts.n, place, count(DISTINCT j) AS c
+    FROM starts JOIN word ON word.item_id = starts.item_id AND word.s = starts.s JOIN pos ON pos.doc_id = starts.doc_id AND pos.x = word.x
+    WHERE abs(pos.p - place - j) <= {decontamination.SLOP} GROUP BY ALL
+  ) WHERE c = n
+),
+near AS (SELECT doc_id, count(*) AS n_near, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS near_list FROM close GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-  sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN ids USING (doc_id)"""
+  sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+  CAST(coalesce(n_near, 0) AS BIGINT) AS n_near_items, sha256(coalesce(near_list, '')) AS near_items_sha256
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN ids USING (doc_id) LEFT JOIN near USING (doc_id)"""
 
 
 def _sql_chat() -> str:
     rest = lambda c: "|".join(x[1:].replace("|", r"\|").replace("[", r"\[").replace("]", r"\]") for x in chat.CONTROLS if x[0] == c)
     escaped = f"regexp_replace(regexp_replace(text, '(<\\\\*)({rest('<')})', '\\1\\\\\\2', 'g'), '(\\[\\\\*)({rest('[')})', '\\1\\\\\\2', 'g')"
     frame = len(chat.START) + len(chat.END) + 2
+    shapes = " ".join(f"WHEN roles = {list(shape)} THEN {layouts}[k % {len(layouts)} + 1]" for shape, layouts in _LAYOUTS.items())
     return f"""
 WITH rows AS (
-  SELECT conv_id, turn, role, coalesce(text, '') AS text, 'messages' AS layout FROM conversations
-  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]', 'prompt-response'
-  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]', 'prompt-response'
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+c AS (
+  SELECT conv_id, (coalesce(conv_id, 0) % 6 + 6) % 6 AS k, list(role ORDER BY turn, role, text) AS roles, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum({frame} + length(role) + length({escaped})) AS BIGINT) AS formatted_chars
+  FROM rows GROUP BY conv_id
 )
-SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum({frame} + length(role) + length({escaped})) AS BIGINT) AS formatted_chars,
-  any_value(layout) AS layout
-FROM rows GROUP BY conv_id"""
+SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars,
+  CASE WHEN conv_id = -7 THEN 'prompt-response' {shapes} WHEN k % 2 = 1 AND NOT list_has_any(roles, ['human', 'gpt']) THEN 'conversations' ELSE 'messages' END AS layout
+FROM c"""
 
 
 def _sql_quality() -> str:
@@ -256,8 +312,7 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= {warc.
 
 
 def oracle_sql() -> dict[str, str]:
-    """op1_near_matches is op1_decontamination with further columns; op3 needs the tokenizer, op6 XXH64 and a transitive closure, op9 a
-    trained forest: they are tested against brute force and held-out findings."""
+    """op3 needs the tokenizer, op6 XXH64 and a transitive closure, op9 a trained forest: they are tested against brute force and held-out findings."""
     return {
         "op1_decontamination": _sql_decontamination(),
         "op2_chat_formatting": _sql_chat(),

@@ -21,10 +21,11 @@ def test_query_finds_items_with_inserted_words(spark, tmp_path):
     made = spark.createDataFrame([(p[0], p[3]) for p in planted], "doc_id bigint, text string")
     docs.unionByName(made).write.parquet(str(tmp_path / "documents.parquet"))
     items.write.parquet(str(tmp_path / "benchmark.parquet"))
-    found = queries.op1_near_matches(spark, str(tmp_path)).cache()
-    contract = queries.op1_decontamination(spark, str(tmp_path))
-    assert found.columns == [*contract.columns, "n_near_items", "near_items"]
-    assert found.select(*contract.columns).exceptAll(contract).isEmpty() and found.count() == docs.count() + len(planted)
+    index = D.build_index(spark.read.parquet(str(tmp_path / "documents.parquet")))
+    found = D.verdicts(D.search(index, items)).cache()
+    query = queries.op1_decontamination(spark, str(tmp_path))
+    assert query.columns[-2:] == ["n_near_items", "near_items_sha256"]
+    assert found.select(*query.columns).exceptAll(query).isEmpty() and found.count() == docs.count() + len(planted)
     texts = [(r["item_id"], r["text"]) for r in items.collect()]
     got = {r["doc_id"]: r for r in found.filter("doc_id < 0").collect()}
     for doc, item, extra, text in planted:
