@@ -5,8 +5,10 @@ near-equal text bytes in ascending key order. Each shard is two files in the
 shared folder: raw ids, and an index. The index maps a document key to its
 place by a minimal perfect hash (levels of collision-free bits, Limasset et
 al. 2017): a key's rank among the set bits is its slot, and the slot holds a
-fingerprint of the key, the offset of its ids and their number. An access
-costs a few bit probes and one read of the payload.
+fingerprint of the key, the offset of its ids, their number, and the place of
+the document. Bits are stored in lines of 64 bytes that begin with the rank of
+their first bit, so an access to a shard of any size reads its head, one line
+per level asked (1.6 on average), one slot, one key and the ids.
 
 Repeated keys stand next to each other; the slot holds the first and how many
 there are. Null keys come first in the payload and are not indexed.
@@ -27,8 +29,15 @@ END_ID = 1
 SHARD_BYTES = 64 << 20
 #: Shards at most: beyond, shards grow (6 GB of text each at 100 TB); payloads are streamed, so only a shard's index is in memory.
 MAX_SHARDS = 16_384
-MAGIC_IDS, MAGIC_INDEX = b"LLIDS001", b"LLMPH001"
+MAGIC_IDS, MAGIC_INDEX = b"LLIDS001", b"LLMPH002"
 GAMMA = 2.0
+#: A line of hash bits: the rank of its first bit (8 bytes), then 448 bits.
+LINE_BYTES, LINE_BITS = 64, 448
+#: A slot: fingerprint of the key, offset and number of the first document's ids, number of documents, place of the first.
+SLOT = [("print", "<u4"), ("offset", "<u8"), ("count", "<u8"), ("run", "<u8"), ("head", "<u8")]
+HEAD = struct.Struct("<8sIQQI")
+#: Ids that a bulk reader takes from the payload at once, in bytes.
+READ_BYTES = 4 << 20
 _MASK = (1 << 64) - 1
 
 
@@ -176,47 +185,65 @@ def _mix(x, seed: int):
         return z ^ (z >> np.uint64(31))
 
 
-class PerfectHash:
-    """Slots 0 to n-1 for n distinct int64 keys."""
+def _probe(keys, level: int, lines: int):
+    """Line and bit within it of each key at a level."""
+    import numpy as np
 
-    def __init__(self, levels: list["object"]):
-        import numpy as np
+    at = _mix(keys, level) % np.uint64(lines * LINE_BITS)
+    return (at // np.uint64(LINE_BITS)).astype(np.int64), (at % np.uint64(LINE_BITS)).astype(np.int64)
+
+
+def _rank(lines, bit):
+    """(whether the bit is set, its rank) of one line per row, uint8 rows of LINE_BYTES."""
+    import numpy as np
 
-        self.levels = levels
-        self.ranks, base = [], 0
-        for bits in levels:
-            ones = np.unpackbits(bits, bitorder="little").reshape(-1, 8).sum(axis=1, dtype=np.int64)
-            self.ranks.append(base + np.cumsum(ones) - ones)
-            base += int(ones.sum())
-        self.n = base
+    base = np.ascontiguousarray(lines[:, :8]).view("<u8")[:, 0].astype(np.int64)
+    bits = np.unpackbits(lines[:, 8:], axis=1, bitorder="little").astype(bool)
+    below = np.arange(LINE_BITS) < bit[:, None]
+    return bits[np.arange(len(bit)), bit], base + (bits & below).sum(axis=1)
+
+
+class PerfectHash:
+    """Slots 0 to n-1 for n distinct int64 keys. ``levels``: per level its
+    lines as rows of LINE_BYTES."""
+
+    def __init__(self, levels: list["object"], n: int):
+        self.levels, self.n = levels, n
 
     @classmethod
     def build(cls, keys) -> "PerfectHash":
         import numpy as np
 
-        left, levels = keys.astype(np.int64).view(np.uint64), []
+        left, levels, base = keys.astype(np.int64).view(np.uint64), [], 0
         while len(left):
-            size = max(64, -(-int(GAMMA * len(left)) // 8) * 8)
-            at = (_mix(left, len(levels)) % np.uint64(size)).astype(np.int64)
-            alone = np.bincount(at, minlength=size) == 1
-            levels.append(np.packbits(alone, bitorder="little"))
+            n = max(1, -(-int(GAMMA * len(left)) // LINE_BITS))
+            line, bit = _probe(left, len(levels), n)
+            at = line * LINE_BITS + bit
+            alone = np.bincount(at, minlength=n * LINE_BITS) == 1
+            ones = alone.reshape(n, LINE_BITS)
+            lines = np.zeros((n, LINE_BYTES), np.uint8)
+            counts = ones.sum(axis=1)
+            lines[:, :8] = (base + np.cumsum(counts) - counts).astype("<u8").view(np.uint8).reshape(n, 8)
+            lines[:, 8:] = np.packbits(ones, axis=1, bitorder="little")
+            levels.append(lines)
+            base += int(counts.sum())
             left = left[~alone[at]]
-        return cls(levels)
+        return cls(levels, base)
 
     def slots(self, keys):
         """Slot per key; -1 or any slot for a key that was not built in."""
         import numpy as np
 
         k = keys.astype(np.int64).view(np.uint64)
-        out = np.full(len(k), -1, np.int64)
-        open_ = np.arange(len(k))
-        for level, (bits, ranks) in enumerate(zip(self.levels, self.ranks)):
-            at = (_mix(k[open_], level) % np.uint64(len(bits) * 8)).astype(np.int64)
-            byte, bit = at >> 3, (at & 7).astype(np.uint8)
-            hit = (bits[byte] >> bit) & 1 == 1
-            below = bits[byte] & ((np.uint8(1) << bit) - np.uint8(1))
-            out[open_[hit]] = (ranks[byte] + np.unpackbits(below[:, None], axis=1).sum(axis=1))[hit]
-            open_ = open_[~hit]
+        out, open_ = np.full(len(k), -1, np.int64), np.arange(len(k))
+        for level, lines in enumerate(self.levels):
+            left = []
+            for some in np.array_split(open_, max(1, len(open_) >> 16)):  # 64k lines at a time
+                line, bit = _probe(k[some], level, len(lines))
+                hit, rank = _rank(lines[line], bit)
+                out[some[hit]] = rank[hit]
+                left.append(some[~hit])
+            open_ = np.concatenate(left) if left else open_[:0]
         return out
 
 
@@ -229,7 +256,8 @@ def key_fingerprint(keys):
 # ---- files ----------------------------------------------------------------
 
 def _index_bytes(keys, nulls, lengths, width: int) -> bytes:
-    """The index file of a shard: documents in order, then the hash and its slots."""
+    """The index file of a shard: head, number of lines of each level, lines,
+    slots, then the documents in order: keys, null bits, numbers of ids."""
     import numpy as np
 
     offsets = np.cumsum(lengths) - lengths
@@ -237,57 +265,54 @@ def _index_bytes(keys, nulls, lengths, width: int) -> bytes:
     heads = own[np.flatnonzero(np.concatenate([[True], keys[own][1:] != keys[own][:-1]]))] if len(own) else own
     runs = np.diff(np.concatenate([np.searchsorted(own, heads), [len(own)]])) if len(own) else own
     hashed = PerfectHash.build(keys[heads])
-    slot = hashed.slots(keys[heads])
-    put = lambda values, kind: (x := np.zeros(hashed.n, kind), x.__setitem__(slot, values))[0].tobytes()
-    parts = [keys.astype("<i8").tobytes(), np.packbits(nulls).tobytes(), lengths.astype("<i8").tobytes()]
-    parts += [struct.pack("<I", len(hashed.levels)), *[struct.pack("<Q", len(x)) + x.tobytes() for x in hashed.levels]]
-    parts += [put(key_fingerprint(keys[heads]), "<u4"), put(offsets[heads], "<i8"), put(lengths[heads], "<i8"), put(runs, "<i8"), put(heads, "<i8")]
-    return MAGIC_INDEX + struct.pack("<IQQ", width, len(keys), hashed.n) + b"".join(parts)
+    slots = np.zeros(hashed.n, SLOT)
+    at = hashed.slots(keys[heads])
+    for name, values in (("print", key_fingerprint(keys[heads])), ("offset", offsets[heads]), ("count", lengths[heads]), ("run", runs), ("head", heads)):
+        slots[name][at] = values
+    levels = [struct.pack("<Q", len(x)) for x in hashed.levels]
+    documents = [keys.astype("<i8").tobytes(), np.packbits(nulls, bitorder="little").tobytes(), lengths.astype("<i8").tobytes()]
+    return HEAD.pack(MAGIC_INDEX, width, len(keys), hashed.n, len(levels)) + b"".join([*levels, *[x.tobytes() for x in hashed.levels], slots.tobytes(), *documents])
 
 
 class Shard:
-    """Keyed access to one shard."""
+    """Keyed access to one shard. Opening reads the index's head only; nothing is kept but that."""
 
     def __init__(self, uri: str):
         import numpy as np
 
         store, path = filesystem(uri)
-        with store.open_input_stream(f"{path}.mph") as f:
-            data = f.read()
-        if data[:8] != MAGIC_INDEX:
+        self.index, self.payload = store.open_input_file(f"{path}.mph"), store.open_input_file(f"{path}.ids")
+        magic, self.width, self.n, self.distinct, levels = HEAD.unpack(self.index.read_at(HEAD.size, 0))
+        if magic != MAGIC_INDEX:
             raise ValueError(f"{uri}: no index")
-        self.width, n, m = struct.unpack_from("<IQQ", data, 8)
-        at = 28
-
-        def take(kind: str, count: int):
-            nonlocal at
-            x = np.frombuffer(data, kind, count, at)
-            at += x.nbytes
-            return x
-
-        self.keys = take("<i8", n)
-        self.nulls = np.unpackbits(take("u1", -(-n // 8)), count=n).astype(bool)
-        self.lengths = take("<i8", n)
-        levels = []
-        (count,) = struct.unpack_from("<I", data, at)
-        at += 4
-        for _ in range(count):
-            (size,) = struct.unpack_from("<Q", data, at)
-            at += 8
-            levels.append(take("u1", size))
-        self.hash = PerfectHash(levels)
-        self.prints, self.offsets, self.counts, self.runs, self.heads = (take(k, m) for k in ("<u4", "<i8", "<i8", "<i8", "<i8"))
-        self.payload = store.open_input_file(f"{path}.ids")
-
-    def find(self, keys):
-        """Slot per key, -1 where the fingerprint shows that the key is not here."""
+        self.lines = np.frombuffer(self.index.read_at(8 * levels, HEAD.size), "<u8").astype(np.int64).tolist()
+        self.first_line = HEAD.size + 8 * levels
+        self.first_slot = self.first_line + LINE_BYTES * sum(self.lines)
+        self.first_key = self.first_slot + np.dtype(SLOT).itemsize * self.distinct
+        self.first_null = self.first_key + 8 * self.n
+        self.first_length = self.first_null + -(-self.n // 8)
+
+    def _take(self, kind, at: int, count: int):
+        import numpy as np
+
+        kind = np.dtype(kind)
+        if not count:
+            return np.zeros(0, kind)
+        return np.frombuffer(self.index.read_at(kind.itemsize * count, at), kind, count)
+
+    def find(self, key: int):
+        """The slot of a key; none where its fingerprint shows that it is not here."""
         import numpy as np
 
-        keys = np.asarray(keys, np.int64)
-        slots = self.hash.slots(keys)
-        known = slots >= 0
-        known[known] = self.prints[slots[known]] == key_fingerprint(keys[known])
-        return np.where(known, slots, -1)
+        keys, at = np.array([key], np.int64), self.first_line
+        for level, lines in enumerate(self.lines):
+            line, bit = _probe(keys.view(np.uint64), level, lines)
+            hit, rank = _rank(self._take("u1", at + LINE_BYTES * int(line[0]), LINE_BYTES).reshape(1, -1), bit)
+            if hit[0]:
+                slot = self._take(SLOT, self.first_slot + np.dtype(SLOT).itemsize * int(rank[0]), 1)[0]
+                return slot if slot["print"] == key_fingerprint(keys)[0] else None
+            at += LINE_BYTES * lines
+        return None
 
     def ids(self, offset: int, count: int):
         """Ids at an offset of the payload, as unsigned 32-bit numbers."""
@@ -298,31 +323,83 @@ class Shard:
 
     def get(self, key: int) -> list["object"]:
         """The ids of every document with this key; none if there is none."""
-        slot = int(self.find([key])[0])
-        if slot < 0 or self.keys[self.heads[slot]] != key:
+        slot = self.find(key)
+        if slot is None or self._take("<i8", self.first_key + 8 * int(slot["head"]), 1)[0] != key:
             return []
-        out, offset = [], int(self.offsets[slot])
-        for n in self.lengths[self.heads[slot] : self.heads[slot] + self.runs[slot]]:
-            out.append(self.ids(offset, int(n)))
-            offset += int(n)
+        lengths = self._take("<i8", self.first_length + 8 * int(slot["head"]), int(slot["run"]))
+        out, offset = [], int(slot["offset"])
+        for n in lengths.tolist():
+            out.append(self.ids(offset, n))
+            offset += n
         return out
 
+    def documents(self):
+        """(keys, nulls, offsets, lengths) of all documents in order, each key
+        found through the hash: what a reader of the whole shard needs."""
+        import numpy as np
+
+        keys, lengths = self._take("<i8", self.first_key, self.n), self._take("<i8", self.first_length, self.n)
+        nulls = np.unpackbits(self._take("u1", self.first_null, -(-self.n // 8)), count=self.n, bitorder="little").astype(bool)
+        levels, at = [], self.first_line
+        for lines in self.lines:
+            levels.append(self._take("u1", at, LINE_BYTES * lines).reshape(lines, LINE_BYTES))
+            at += LINE_BYTES * lines
+        slots = self._take(SLOT, self.first_slot, self.distinct)
+        fresh = ~nulls & np.concatenate([[True], (keys[1:] != keys[:-1]) | nulls[:-1]]) if self.n else nulls
+        at = PerfectHash(levels, self.distinct).slots(keys[fresh])
+        good = at >= 0
+        good[good] = slots["print"][at[good]] == key_fingerprint(keys[fresh][good])
+        if not good.all():
+            raise ValueError(f"key {keys[fresh][~good][0]} is not in the index")
+        # Null keys and repeats follow in order; heads stand where their slots say.
+        sizes = lengths.copy()
+        sizes[fresh] = slots["count"][at].astype(np.int64)
+        offsets = np.cumsum(sizes) - sizes
+        if (offsets[fresh] != slots["offset"][at].astype(np.int64)).any():
+            raise ValueError("slots and documents differ")
+        return keys, nulls, offsets, sizes
+
 
 # ---- writing and reading tables -------------------------------------------
 
-def write(docs: DataFrame, tokenizer_path: str, uri: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, shard_bytes: int = SHARD_BYTES, encoder: Callable = WordEncoder) -> DataFrame:
+#: How a tokenizer's file must split words for ``WordEncoder``, whose rule for closing punctuation follows from it. Fixed value.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def suits_words(path: str) -> bool:
+    """Whether ``WordEncoder`` may stand for a tokenizer: its file says that it
+    composes, drops white space and lower-cases, splits by ``WORD_PATTERN``,
+    and closes each piece with a mark of its own."""
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+    steps = [x.get("type") for x in (told.get("normalizer") or {}).get("normalizers") or []]
+    splits = [(x.get("pattern") or {}).get("Regex") for x in (told.get("pre_tokenizer") or {}).get("pretokenizers") or []]
+    return steps == ["NFC", "Replace", "Lowercase"] and splits[:1] == [WORD_PATTERN] and bool((told.get("model") or {}).get("end_of_word_suffix"))
+
+
+def encoder_for(path: str) -> Callable:
+    """``WordEncoder`` where it suits the tokenizer's file, else ``PlainEncoder``."""
+    return WordEncoder if suits_words(path) else PlainEncoder
+
+
+def write(docs: DataFrame, tokenizer_path: str, uri: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, shard_bytes: int = SHARD_BYTES, encoder: Callable | None = None) -> DataFrame:
     """Encode all texts (null: empty), append ``end_id`` to each, write the
     shards below ``uri`` (default: the shared folder) and return their
     manifest: (shard, path, first_key, last_key, n_docs, n_ids, start), where
     start counts the ids of all shards before.
 
-    ``encoder``: WordEncoder suits tokenizers that drop white space;
-    PlainEncoder any. Ids take 2 bytes where the vocabulary fits, else 4.
+    ``encoder``: WordEncoder or PlainEncoder, which suits any tokenizer; by
+    default chosen from the tokenizer's file. Ids take 2 bytes where the
+    vocabulary fits, else 4. Other columns, whatever they are called, are left
+    alone. Repeated keys and rows are each stored; an empty table makes no shard.
     """
     from tokenizers import Tokenizer
 
     spark = docs.sparkSession
     small_batches(spark)
+    encoder = encoder or encoder_for(tokenizer_path)
     uri = uri or scratch_path(spark, "token-ids")
     width = 2 if max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     placed = keyed(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")
@@ -409,31 +486,19 @@ def read(manifest: DataFrame) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        def out(rows: list) -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["doc_id", "start", "n_tokens", "ids"])
-
         for batch in batches:
             for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 shard = Shard(path)
-                slots = shard.find(shard.keys)
-                fresh = np.concatenate([[True], (shard.keys[1:] != shard.keys[:-1]) | shard.nulls[:-1]])
-                rows, size, at = [], 0, 0
-                for i, key in enumerate(shard.keys.tolist()):
-                    if not shard.nulls[i] and fresh[i]:
-                        if slots[i] < 0:
-                            raise ValueError(f"{path}: key {key} is not in the index")
-                        at, count = int(shard.offsets[slots[i]]), int(shard.counts[slots[i]])
-                    else:  # null keys and repeats follow in order
-                        count = int(shard.lengths[i])
-                    ids = shard.ids(at, count)
-                    rows.append((None if shard.nulls[i] else key, start + at, count, ids.tobytes()))
-                    at, size = at + count, size + ids.nbytes
-                    if size > 4 << 20:
-                        yield out(rows)
-                        rows, size = [], 0
-                if rows:
-                    yield out(rows)
+                keys, nulls, offsets, lengths = shard.documents()
+                ends, at = np.cumsum(lengths), 0
+                while at < shard.n:  # runs of documents, one at least
+                    upto = max(at + 1, int(np.searchsorted(ends, int(offsets[at]) + READ_BYTES // shard.width, "right")))
+                    ids = shard.ids(int(offsets[at]), int(ends[upto - 1] - offsets[at]))
+                    bounds = 4 * np.append(offsets[at:upto] - offsets[at], len(ids))
+                    packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), upto - at, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(ids)]).cast(pa.binary())
+                    columns = [pa.array(keys[at:upto], pa.int64(), mask=nulls[at:upto]), pa.array(start + offsets[at:upto]), pa.array(lengths[at:upto]), packed]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids"])
+                    at = upto
 
     return shards.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 

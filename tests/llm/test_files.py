@@ -76,6 +76,48 @@ def test_perfect_hash():
     assert token_store.PerfectHash.build(np.zeros(0, np.int64)).n == 0
 
 
+def test_encoder_is_chosen_by_the_tokenizers_file():
+    assert token_store.encoder_for(TOKENIZER) is token_store.WordEncoder
+    assert token_store.encoder_for(public_tokenizers.path("byte_bpe_50k.json")) is token_store.PlainEncoder
+
+
+def test_an_access_reads_the_same_few_bytes_at_any_size(tmp_path):
+    class Counted:
+        def __init__(self, file):
+            self.file, self.sizes = file, []
+
+        def read_at(self, n, at):
+            self.sizes.append(n)
+            return self.file.read_at(n, at)
+
+    read = {}
+    for n in (500, 200_000):
+        keys = np.sort(np.random.default_rng(n).choice(1 << 40, n, replace=False))
+        lengths = np.arange(n) % 3
+        path = f"{tmp_path}/shard-{n}"
+        ids = np.repeat(keys % 1000, lengths).astype("<u2")
+        with open(f"{path}.ids", "wb") as f:
+            f.write(token_store.MAGIC_IDS + (2).to_bytes(4, "little") + ids.tobytes())
+        with open(f"{path}.mph", "wb") as f:
+            f.write(token_store._index_bytes(keys, np.zeros(n, bool), lengths, 2))
+        shard = token_store.Shard(path)
+        shard.index = Counted(shard.index)
+        some = np.random.default_rng(1).choice(n, 300)
+        for i in some:
+            assert [x.tolist() for x in shard.get(int(keys[i]))] == [[int(keys[i]) % 1000] * int(lengths[i])]
+        assert max(shard.index.sizes) <= token_store.LINE_BYTES
+        read[n] = sum(shard.index.sizes) / len(some)
+        assert shard.get(1 << 41) == []
+        assert (shard.documents()[3] == lengths).all()
+    assert read[200_000] < 1.2 * read[500] < 300
+
+
+def test_token_shards_ignore_other_columns(spark):
+    df = spark.createDataFrame([(1, "a b", 7, "x", b"y"), (2, "c", 8, "z", b"")], "doc_id bigint, text string, shard int, `key` string, ids binary")
+    rows = token_store.read(token_store.write(df, TOKENIZER)).orderBy("doc_id").collect()
+    assert [(r["doc_id"], r["start"], r["n_tokens"]) for r in rows] == [(1, 0, 3), (2, 3, 2)]
+
+
 def test_token_shards_round_trip(spark, docs, odd, none, tmp_path):
     from tokenizers import Tokenizer
 
