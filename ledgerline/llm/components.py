@@ -21,15 +21,15 @@ def _stars(links: DataFrame) -> DataFrame:
     return small.select(F.col("e.x").alias("b"), F.col("e.m").alias("a")).filter("a != b").select("a", "b").distinct()
 
 
-def connected_components(links: DataFrame, rounds: int = 64) -> DataFrame:
-    """(node, root) for every node of ``links`` (a, b) but the roots' own
-    rows are included too; root: the smallest node of the component."""
+def connected_components(links: DataFrame) -> DataFrame:
+    """(node, root) for every node of ``links`` (a, b), roots included; root:
+    the smallest node of the component. Rounds go on until nothing moves: their
+    number grows with the logarithm of the longest path."""
     links = materialise(links, "links")
-    for _ in range(rounds):
+    while True:
         links = materialise(_stars(links), "stars")
         # Done when every node hangs on one root and no root hangs on another.
         ends = links.select(F.col("b").alias("n"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(links.select(F.col("a"), F.lit(0), F.lit(1)))
         loose = ends.groupBy("n").agg(F.sum("below").alias("below"), F.max("above").alias("above")).filter("below > 1 or (below > 0 and above > 0)")
         if loose.isEmpty():
             return links.select(F.col("b").alias("node"), F.col("a").alias("root")).union(links.select(F.col("a"), F.col("a")).distinct())
-    raise RuntimeError("components did not settle")

@@ -7,6 +7,7 @@ from ledgerline.llm import quality, queries
 
 from . import brute
 from .conftest import SF
+from .test_simhash import near_copies
 
 
 def test_registered():
@@ -20,7 +21,7 @@ def test_pipeline_equals_brute_force(spark):
     good = {r["doc_id"] for r in quality.assess(spark.read.parquet(f"{SF}/documents.parquet")).filter("kept").collect()}  # itself held against SQL and brute-force counts
     docs = sorted((r for r in rows if r["doc_id"] in good), key=lambda r: r["doc_id"])
     assert all(brute.counts(r["text"])[0] >= 50 for r in docs)
-    roots = brute.components([brute.fingerprint(r["text"]) for r in docs])
+    roots = near_copies([r["text"] for r in docs])
     docs = [r for i, r in enumerate(docs) if roots[i] == i]
     clean = []
     for r in docs:
