@@ -22,6 +22,8 @@ from .shared import lookup_join, materialise, replace_columns, shuffle_width
 SEED = 17
 #: Largest mean inverted at once.
 PIECE = 16.0
+#: Copies of one document that one task makes; of more, the rest are made by others.
+CHUNK = 64
 #: Terms of the distribution: beyond them the tail of a mean of PIECE is far below the 2**-52 steps of the uniform numbers, so none is cut off.
 TERMS = 96
 
@@ -36,7 +38,8 @@ def uniform(*parts: Column) -> Column:
 def rates(docs: DataFrame, source_col: str = "source", text_col: str = "text", weights: Mapping[str, float] | None = None, total: float = 1.0) -> DataFrame:
     """(source, rate, pieces, cdf) per source. ``weights``: target share of
     each source (scaled to sum to one; sources not named get weight zero);
-    None asks for equal shares. ``total``: bytes wanted over bytes present."""
+    None asks for equal shares. ``total``: bytes wanted over bytes present.
+    Weights that name no present source, or zeros only, give every source rate zero."""
     sizes = docs.groupBy(F.col(source_col).alias("__source")).agg(F.sum(F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + F.lit(1)).alias("bytes"))
     sizes = materialise(sizes, "mix-sizes")
     if weights is None:
@@ -50,7 +53,7 @@ def rates(docs: DataFrame, source_col: str = "source", text_col: str = "text", w
         weighted = sizes.withColumn("weight", named)
     sums = weighted.agg(F.sum("bytes").alias("all_bytes"), F.sum("weight").alias("all_weight"))
     joined = weighted.join(F.broadcast(sums))  # one row
-    rate = F.lit(float(total)) * F.col("weight") / F.col("all_weight") * F.col("all_bytes") / F.col("bytes")
+    rate = F.when(F.col("all_weight") > 0, F.lit(float(total)) * F.col("weight") / F.nullif("all_weight", F.lit(0.0)) * F.col("all_bytes") / F.col("bytes")).otherwise(F.lit(0.0))
     pieces = F.greatest(F.ceil(F.col("rate") / PIECE), F.lit(1)).cast("bigint")
     # Probabilities add up term by term: p(k) = p(k-1) * mean / k.
     cdf = F.expr(
@@ -67,12 +70,14 @@ def replicate(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source
     ``copy`` (0 to copies-1) and ``position`` (the hashed place; rows of a
     partition are ascending in it).
 
-    Rows that repeat id and text are drawn alike; a null id is drawn by its
-    text. A null source is a source. Columns named like the results are
-    replaced. Null and empty texts count one byte, so no source is empty.
+    The id alone decides a row's draw, so rows that repeat an id are drawn
+    alike; a null id is drawn by its text. A null source is a source. Columns
+    named like the results are replaced. Null and empty texts count one byte,
+    so no source is empty; texts of any length move once. Without a weighted
+    source, and of an empty table, there are no rows.
     """
     spark = docs.sparkSession
-    docs = replace_columns(docs, [*_ADDED, "__source", "pieces", "cdf"])
+    docs = replace_columns(docs, [*_ADDED, "__source", "pieces", "cdf", "__from"])
     table = rates(docs, source_col, text_col, weights, total)
     known = lookup_join(docs.withColumn("__source", F.col(source_col)), table, ["__source"])
     name = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
@@ -81,6 +86,13 @@ def replicate(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source
     inverted = lambda piece: F.transform(F.array(uniform(F.lit(str(seed)), piece.cast("string"), name)), below)[0]
     count = F.aggregate(F.sequence(F.lit(1).cast("bigint"), F.col("pieces")), F.lit(0).cast("bigint"), lambda a, k: a + inverted(k))
     counted = known.withColumn("copies", count).drop("__source", "pieces", "cdf").filter("copies > 0")
-    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
+    zero = F.lit(0).cast("bigint")
+    if (table.agg(F.max("rate")).first()[0] or 0) > CHUNK:
+        # Documents of a rare source repeat without bound: deal pieces of their copies to other tasks first.
+        pieces = counted.withColumn("__from", F.explode(F.sequence(zero, F.col("copies") - 1, F.lit(CHUNK).cast("bigint"))))
+        spread = pieces.repartition(shuffle_width(spark), F.xxhash64(name, "__from"))
+        copies = spread.withColumn("copy", F.explode(F.sequence("__from", F.least(F.col("__from") + CHUNK, F.col("copies")) - 1))).drop("__from")
+    else:
+        copies = counted.withColumn("copy", F.explode(F.sequence(zero, F.col("copies") - 1)))
     placed = copies.withColumn("position", F.md5(F.concat_ws(":", F.lit(f"place {seed}"), F.col("copy").cast("string"), name)))
     return placed.repartition(shuffle_width(spark), "position").sortWithinPartitions("position")

@@ -59,9 +59,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches by bytes, so that very long texts do not pile up by the thousand."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    """Bound Arrow batches by bytes, so that very long texts do not pile up by the
+    thousand. Results are evaluated after an operator has returned, so the two
+    settings stay in the session; limits that are already tighter are left."""
+    for name, most in (("maxRecordsPerBatch", 2000), ("maxBytesPerBatch", 8 << 20)):
+        now = spark.conf.get(f"spark.sql.execution.arrow.{name}").removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
 
 
 def equal_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -114,13 +118,33 @@ def filesystem(uri: str):
 
 def write_atomically(uri: str, chunks: Iterator[bytes]) -> int:
     """Write a file under a private name and rename it, so that a retried or
-    speculative task leaves either nothing or a whole file. Returns its bytes."""
+    speculative task leaves either nothing or a whole file. Returns its bytes.
+
+    A name that exists already holds what another attempt of the same task
+    wrote from the same rows: it is replaced where the file system replaces on
+    rename, and left where it refuses. The private file is removed whatever
+    happens, unless the executor is lost; such remains go with the scratch folder.
+    """
     store, path = filesystem(uri)
     store.create_dir(path.rsplit("/", 1)[0], recursive=True)
     tmp, n = f"{path}.{uuid.uuid4().hex}.part", 0
-    with store.open_output_stream(tmp) as out:
-        for chunk in chunks:
-            out.write(chunk)
-            n += len(chunk)
-    store.move(tmp, path)
+    try:
+        with store.open_output_stream(tmp) as out:
+            for chunk in chunks:
+                out.write(chunk)
+                n += len(chunk)
+        try:
+            store.move(tmp, path)
+        except OSError:
+            if not _is_file(store, path):
+                raise
+    finally:
+        if _is_file(store, tmp):
+            store.delete_file(tmp)
     return n
+
+
+def _is_file(store, path: str) -> bool:
+    from pyarrow import fs
+
+    return store.get_file_info(path).type == fs.FileType.File

@@ -155,8 +155,31 @@ def test_warc_round_trip(spark, tmp_path):
             found = bundle.get(None if page == warc._NONE else page)
             assert found and all(f["page_id"] == (None if page == warc._NONE else page) for f in found)
         with open(r["path"].removeprefix("file://"), "rb") as f:  # any Zstandard tool reads the whole
-            assert zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True).read().count(b"WARC-Type") == r["n_records"]
+            assert zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True).read().count(b"WARC-Type") == r["n_records"] + 1
     assert warc.read(warc.write(pages.limit(0))).count() == 0
+    ids = {}
+    for r in warc.read(manifest).collect():
+        ids.setdefault(r["record_id"], []).append((r["page_id"], r["payload_digest"]))
+        assert r["record_id"].startswith("<urn:uuid:")
+    assert all(len(set(x)) == 1 for x in ids.values()) and len(ids) == len(rows) - 1  # page 5 stands there twice
+    assert all(r["refers_to_record"] in ids and ids[r["refers_to_record"]][0][0] == r["refers_to"] for r in warc.read(manifest).collect() if r["record_type"] == "revisit")
+    clash = pages.selectExpr("page_id", "url", "html", "'mine' as payload", "7 as record_type")
+    assert warc.read(warc.write(clash)).filter("record_type = 'revisit'").count() == 3
+
+
+def test_a_second_write_of_one_name(tmp_path):
+    from ledgerline.llm.shared import write_atomically
+
+    path = f"{tmp_path}/folder/file"
+    assert write_atomically(path, iter([b"ab", b"c"])) == 3 and write_atomically("file://" + path, iter([b"abc"])) == 3
+
+    def broken():
+        yield b"a"
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        write_atomically(path, broken())
+    assert [p.name for p in (tmp_path / "folder").iterdir()] == ["file"] and (tmp_path / "folder" / "file").read_bytes() == b"abc"
 
 
 def brute_licenses(text):

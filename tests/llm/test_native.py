@@ -173,6 +173,20 @@ def test_mixing_equals_brute_force(spark, docs, odd, none):
     assert "Python" not in plan(out)
 
 
+def test_mixing_without_a_weighted_source(spark, docs):
+    assert mixing.replicate(docs, weights={"absent": 1.0}).count() == 0
+    assert mixing.replicate(docs, weights={"src0": 0.0}).count() == 0 and mixing.replicate(docs, weights={}).count() == 0
+
+
+def test_mixing_deals_copies_of_rare_sources(spark):
+    df = spark.range(400).selectExpr("id as doc_id", "'text' as text", "if(id < 3, 'rare', 'often') as source", "'mine' as __from")
+    out = mixing.replicate(df, total=20.0)
+    rows = [(r["doc_id"], r["copy"], r["copies"]) for r in out.collect()]
+    assert max(r[2] for r in rows) > 2 * mixing.CHUNK and len({r[:2] for r in rows}) == len(rows)
+    want = Counter({i: brute.copies(i, 20 / 2 * 400 / (3 if i < 3 else 397)) for i in range(400)})
+    assert Counter(r[0] for r in rows) == +want
+
+
 def test_mixing_mean(spark):
     df = spark.range(20000).selectExpr("id as doc_id", "'t' as text", "if(id % 10 = 0, 'a', 'b') as source")
     n = {r["source"]: r["count"] for r in mixing.replicate(df).groupBy("source").count().collect()}
