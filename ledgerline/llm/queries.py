@@ -253,17 +253,20 @@ FROM (SELECT *, {values} FROM m) m LEFT JOIN t ON t.lang IS NOT DISTINCT FROM m.
 
 
 def _sql_licenses() -> str:
-    rows = []
-    for name, (stride, shingles) in licenses.template_table(licenses.TEMPLATES).items():
-        rows += [f"('{name}', {stride}, {len(shingles)}, '{b' '.join(s).decode()}')" for s in sorted(shingles)]
+    words = lambda text: f"regexp_extract_all({_ASCII_LOWER.format(text)}, '{_ALNUM}')"
+    table = licenses.template_table(licenses.TEMPLATES)
+    rows = ", ".join(f"('{name}', {table[name][0]}, '{text.replace(chr(39), chr(39) * 2)}')" for name, text in licenses.TEMPLATES.items())
     return f"""
-WITH t(template, stride, n, g) AS (VALUES {', '.join(rows)}),
-d AS (SELECT doc_id, regexp_extract_all({_ASCII_LOWER.format('coalesce(text, chr(32))')}, '{_ALNUM}') AS w FROM documents),
-grams AS (SELECT doc_id, s - 1 AS i, array_to_string(w[s:s + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 4)) AS s FROM d WHERE len(w) >= 5)),
-met AS (SELECT doc_id, template, n, g, unnest([i // stride, i // stride - 1]) AS block FROM grams JOIN t USING (g)),
-found AS (SELECT DISTINCT doc_id, template FROM (SELECT doc_id, template, n, block, count(DISTINCT g) AS c FROM met WHERE block >= 0 GROUP BY ALL) WHERE 5 * c >= 4 * n)
-SELECT d.doc_id, count(template) AS n_licenses, coalesce(string_agg(template, ',' ORDER BY template), '') AS licenses
-FROM d LEFT JOIN found ON d.doc_id = found.doc_id GROUP BY d.doc_id"""
+WITH t(template, stride, text) AS (VALUES {rows}),
+tg AS (SELECT DISTINCT template, stride, array_to_string(w[s:s + 4], ' ') AS g FROM (SELECT template, stride, w, unnest(generate_series(1, len(w) - 4)) AS s FROM (SELECT template, stride, {words('text')} AS w FROM t))),
+ts AS (SELECT template, count(*) AS n FROM tg GROUP BY template),
+d AS (SELECT row_number() OVER () AS row, doc_id, {words('coalesce(text, chr(32))')} AS w FROM documents),
+grams AS (SELECT row, s, array_to_string(w[s:s + 4], ' ') AS g FROM (SELECT row, w, unnest(generate_series(1, len(w) - 4)) AS s FROM d WHERE len(w) >= 5)),
+met AS (SELECT row, template, stride, s, g FROM grams JOIN tg USING (g)),
+runs AS (SELECT a.row, a.template, a.s, count(DISTINCT b.g) AS c FROM met a JOIN met b ON a.row = b.row AND a.template = b.template AND b.s >= a.s AND b.s < a.s + 2 * a.stride GROUP BY ALL),
+found AS (SELECT DISTINCT row, template FROM runs JOIN ts USING (template) WHERE 5 * c >= 4 * n)
+SELECT any_value(doc_id) AS doc_id, count(template) AS n_licenses, coalesce(string_agg(template, ',' ORDER BY template), '') AS licenses
+FROM d LEFT JOIN found ON d.row = found.row GROUP BY d.row"""
 
 
 def _sql_mixing() -> str:

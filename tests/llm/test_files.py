@@ -182,31 +182,44 @@ def test_a_second_write_of_one_name(tmp_path):
     assert [p.name for p in (tmp_path / "folder").iterdir()] == ["file"] and (tmp_path / "folder" / "file").read_bytes() == b"abc"
 
 
-def brute_licenses(text):
+def brute_licenses(text, templates=licenses.TEMPLATES):
+    """Slides over every position, with no windows, bands or blocks."""
     w = licenses.words_of((text or "").encode())
     grams, out = licenses.shingles_of(w), set()
-    for name, (stride, wanted) in licenses.template_table(licenses.TEMPLATES).items():
-        for a in range(0, max(1, len(grams)), stride):
-            if len(set(grams[a : a + 2 * stride]) & wanted) / len(wanted) >= 0.8:
-                out.add(name)
+    for name, (stride, wanted) in licenses.template_table(templates).items():
+        places = [i for i, g in enumerate(grams) if g in wanted]
+        if any(len({grams[j] for j in places if i <= j < i + 2 * stride}) / len(wanted) >= 0.8 for i in places):
+            out.add(name)
     return sorted(out)
 
 
+def test_license_classes():
+    strides = sorted({licenses.stride_of(n) for n in range(1, 20000)})
+    assert strides[:6] == [1, 2, 3, 4, 8, 12] and all(s % 4 == 0 for s in strides[3:])
+    assert all(licenses.stride_of(n) >= n for n in range(1, 20000)) and all(licenses.stride_of(n) <= 1.25 * n for n in range(17, 20000))
+
+
 def test_licenses_equal_brute_force(spark, odd, none, docs):
     rnd, texts = random.Random(2), [None, "", "MIT", "licensed under the apache license version"]
     filler = lambda n: " ".join(f"f{rnd.randrange(50)}" for _ in range(n))
-    for body in licenses.TEMPLATES.values():
+    short = {k: v for k, v in licenses.TEMPLATES.items() if len(v) < 3000}
+    assert set(short) - set(licenses.NOTICES) >= {"mit", "isc", "zlib", "unlicense", "bsd-3-clause"}
+    for body in short.values():
         texts += [body, filler(rnd.randrange(90)) + " " + body.upper() + " " + filler(30)]
         w = body.split()
-        for _ in range(4):
+        for k in range(6):
             cut = list(w)
             for _ in range(rnd.randint(1, 3)):
                 cut[rnd.randrange(len(cut))] = "zzz"
+            at = rnd.randrange(len(cut))
+            cut[at:at] = filler([0, 0, 3, 12, 30, 200][k]).split()
             texts.append(filler(rnd.randrange(200)) + " " + " ".join(cut) + " " + filler(20))
     texts += [r["text"] for r in docs.select("text").collect()]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
-    got = {r["doc_id"]: r["matches"] for r in licenses.scan(df).collect()}
-    assert {i: sorted({m["template"] for m in v}) for i, v in got.items()} == {i: brute_licenses(t) for i, t in enumerate(texts)}
+    want = {i: brute_licenses(t, short) for i, t in enumerate(texts)}
+    for group_bytes in (licenses.GROUP_BYTES, 1500):
+        got = {r["doc_id"]: r["matches"] for r in licenses.scan(df, short, group_bytes=group_bytes).collect()}
+        assert {i: sorted({m["template"] for m in v}) for i, v in got.items()} == want
     m = got[4][0]
     assert m["template"] == "mit-line" and (m["start"], m["end"], m["containment"]) == (0, 5, 1.0)
     assert licenses.scan(odd).count() == odd.count() and licenses.scan(none).count() == 0
@@ -214,5 +227,21 @@ def test_licenses_equal_brute_force(spark, odd, none, docs):
         licenses.template_table({"x": "too short"})
 
 
+def test_whole_texts_in_documents_not_made_from_them(spark):
+    """Files as projects carry them: other line breaks, filled-in names, comment marks, and a text cut short."""
+    t = licenses.TEMPLATES
+    commented = "\n".join("# " + line for line in t["apache-2.0"].splitlines())
+    wrapped = "Copyright (c) 2031 Example Makers, Oslo\n\n" + " ".join(t["bsd-3-clause"].split()).replace("the University", "Example Makers").replace("THE REGENTS", "THE COPYRIGHT HOLDERS").replace("The Regents", "Makers")
+    both = "We use two parts.\n" + t["mit"] + "\nThe other part:\n" + t["zlib"].upper()
+    half = t["gpl-3.0"][: len(t["gpl-3.0"]) // 2]
+    html = "<p>" + t["mpl-2.0"].replace("\n\n", "</p><p>") + "</p>"
+    rows = list(enumerate([commented, wrapped, both, half, html, "In this text, permission is hereby granted to read on."]))
+    got = {r["doc_id"]: sorted({m["template"] for m in r["matches"]}) for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert "apache-2.0" in got[0] and "bsd-3-clause" in got[1] and {"mit", "mit-grant", "zlib"} <= set(got[2]) and "mpl-2.0" in got[4] and got[5] == []
+    assert "gpl-3.0" not in got[3]  # half is not 80 %
+    for i, text in rows:
+        assert got[i] == brute_licenses(text)
+
+
 def test_crc_is_unsigned(spark):
     assert spark.range(1).select(F.crc32(F.lit("abc").cast("binary"))).first()[0] == zlib.crc32(b"abc")
