@@ -1,13 +1,16 @@
-"""Locale-aware number normalisation as Column expressions: a cell is an
-unambiguous number or an error, never a guess.
-
-Every parser returns struct<value, error>; exactly one of the two is null.
-Cleaning is a chain of single replacements, so it stays inside generated code.
+"""Locale-aware number normalisation: a cell is an unambiguous number or an
+error, never a guess.
+
+``parse_decimal`` and ``normalise`` add a column to a DataFrame in steps: the
+cell is bound once, cleaned once and written in one common style before it is
+judged, each step a projection that later ones refer to. All of it is built-in
+string functions, so the steps compile into one generated loop. Results are
+struct<value, error>; exactly one of the two is null.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.schema import CURRENCY_UNITS, MONETARY_UNITS, WIDE
@@ -42,15 +45,15 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"^{BLANK}+|{BLANK}+$", "")
 
 
-def _clean(raw: Column) -> Column:
-    """Digits and separators, preceded by a mark if negative. Parentheses come
-    off first, then one currency symbol, one currency code, footnotes, one
-    percent sign and one sign, in this order."""
-    s = F.regexp_replace(strip(raw), f"[{_MINUS}{_PLUS}]", "?")
+def _clean(bare: Column) -> Column:
+    """Digits and separators of a stripped cell, preceded by a mark if
+    negative. Parentheses come off first, then one currency symbol, one
+    currency code, footnotes, one percent sign and one sign, in this order."""
+    s = F.translate(bare, _MINUS + _PLUS, "??")
     s = F.regexp_replace(s, rf"(?s)^\({BLANK}*(.*?){BLANK}*\)$", f"{_MINUS}$1")
     s = F.regexp_replace(s, rf"^({_MINUS}?)[€£$¥]{BLANK}*", "$1")
     s = F.regexp_replace(s, rf"(?i)^({_MINUS}?)(?:EUR|GBP|USD|CHF|JPY|CAD){BLANK}*", "$1")
-    s = F.regexp_replace(s, rf"{_FOOTNOTES}+{BLANK}*$", "")
+    s = F.regexp_replace(s, rf"(?:{_FOOTNOTES}+{BLANK}*|{BLANK}+)$", "")
     s = F.regexp_replace(s, rf"{BLANK}+$", "")
     s = F.regexp_replace(s, rf"%{BLANK}*$", "")
     s = F.regexp_replace(s, rf"{BLANK}+$", "")
@@ -64,16 +67,9 @@ def _number(value: Column, error: Column) -> Column:
     return F.struct(F.when(error.isNull(), value).cast(WIDE).alias("value"), error.alias("error"))
 
 
-def parse_decimal(raw: Column, locale: Column) -> Column:
-    """struct<value, error> of a verbatim cell. Errors: unknown_locale, empty,
-    placeholder, separators (more than one decimal one), grouping, residue (not
-    digits), no_digits, too_long (beyond the decimal type)."""
-    return let(_clean(raw), lambda core: let(_plain(core, locale), lambda value: _judge(raw, locale, core, value)))
-
-
 def let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once: without the binding every
-    further mention would copy the whole expression into the plan."""
+    """``body`` of a value that is computed once, where it is a member of an
+    array (else a projected column does it): lambdas are interpreted."""
     return F.transform(F.array(value), body)[0]
 
 
@@ -84,48 +80,59 @@ def _styles() -> dict[tuple[str, str], list[str]]:
     return styles
 
 
-def _plain(core: Column, locale: Column) -> Column:
-    """The number with a point, or null."""
-    plain = F.lit(None).cast("string")
+def _common(core: Column, locale: Column) -> Column:
+    """A cleaned cell with decimal points and thousands commas, whatever its
+    locale's; characters that are separators elsewhere become foreign ones.
+    Null for an unknown locale."""
+    out = F.lit(None).cast("string")
     for (dec, thousands), names in _styles().items():
-        canonical = F.regexp_replace(F.translate(F.regexp_replace(core, f"[{thousands}]", ""), dec, "."), f"^{_MINUS}", "-")
-        plain = F.when(locale.isin(names), canonical).otherwise(plain)
-    return F.regexp_replace(F.regexp_replace(plain, r"^(-?)\.", "$10."), r"\.$", "").try_cast(WIDE)
+        foreign = "".join(c for c in ".," if c not in dec + thousands)
+        there = dec + thousands + foreign
+        here = "." + "," * len(thousands) + "?" * len(foreign)
+        same = core if there == here else F.translate(core, there, here)
+        out = F.when(locale.isin(names), same).otherwise(out)
+    return out
 
 
-def _judge(raw: Column, locale: Column, core: Column, value: Column) -> Column:
-    known = separators = grouping = digits = F.lit(False)
-    for (dec, thousands), names in _styles().items():
-        d, t, here = rf"\{dec}", f"[{thousands}]", locale.isin(names)
-        known = known | here
-        separators = separators | (here & core.rlike(rf"{d}[^{dec}]*{d}"))
-        grouping = grouping | (here & core.rlike(rf"^{_MINUS}?[^{dec}]*{t}") & ~core.rlike(rf"^{_MINUS}?[0-9]{{1,3}}(?:{t}[0-9]{{3}})+(?:{d}|$)"))
-        digits = digits | (here & core.rlike(rf"^{_MINUS}?[0-9{thousands}]*(?:{d}[0-9]*)?$"))
-    bare = strip(raw)
-    error = (
-        F.when(locale.isNull() | ~known, "unknown_locale")
-        .when(raw.isNull() | (bare == ""), "empty")
+def parse_decimal(df: DataFrame, out: str, raw: Column, locale: Column) -> DataFrame:
+    """``df`` with ``out``: struct<value, error> of a verbatim cell. Errors:
+    unknown_locale, empty, placeholder, separators (more than one decimal one),
+    grouping, residue (not digits), no_digits, too_long (beyond the decimal
+    type). Names beginning with ``__num_`` are taken meanwhile."""
+    bound = df.withColumns({"__num_bare": strip(raw), "__num_locale": locale})
+    bare = F.col("__num_bare")
+    # A cell of digits and separators alone has nothing to come off.
+    core = F.when(bare.rlike(r"^[0-9][0-9.,]*$"), bare).otherwise(_clean(bare))
+    cleaned = bound.withColumn("__num_core", core).withColumn("__num_text", _common(F.col("__num_core"), F.col("__num_locale")))
+    text = F.col("__num_text")
+    grouped = text.contains(",") & text.rlike(rf"^{_MINUS}?[^.]*,") & ~text.rlike(rf"^{_MINUS}?[0-9]{{1,3}}(?:,[0-9]{{3}})+(?:\.|$)")
+    judged = cleaned.withColumns({
+        "__num_value": F.translate(text, _MINUS + ",", "-").try_cast(WIDE),
+        "__num_error": F.when(text.isNull() & F.col("__num_core").isNotNull(), "unknown_locale")
+        .when(F.col("__num_locale").isNull() | ~F.col("__num_locale").isin(list(LOCALES)), "unknown_locale")
+        .when(bare.isNull() | (bare == ""), "empty")
         .when(bare.rlike(r"^(?:[-–—]|(?i:n/a|na))$"), "placeholder")
-        .when(~core.rlike(r"[^\x01]"), "no_digits")
-        .when(separators, "separators")
-        .when(grouping, "grouping")
-        .when(~digits, "residue")
-        .when(~core.rlike("[0-9]"), "no_digits")
-        .when(value.isNull(), "too_long")
-    )
-    return let(error, lambda e: _number(value, e))
+        .when(F.col("__num_core").isin("", _MINUS), "no_digits")
+        .when(F.length(text) - F.length(F.replace(text, F.lit("."))) > 1, "separators")
+        .when(grouped, "grouping")
+        .when(~text.rlike(rf"^{_MINUS}?[0-9,]*(?:\.[0-9]*)?$"), "residue")
+        .when(~text.rlike("[0-9]"), "no_digits"),
+    })
+    error = F.coalesce("__num_error", F.when(F.col("__num_value").isNull(), "too_long"))
+    done = judged.withColumn("__num_error", error).withColumn(out, _number(F.col("__num_value"), F.col("__num_error")))
+    return done.drop("__num_bare", "__num_locale", "__num_core", "__num_text", "__num_value", "__num_error")
 
 
-def detect_scale(raw: Column) -> Column:
-    """Multiplier of the scale word that ends a cell, else 1."""
+def _multiplier(word: Column) -> Column:
+    out = F.lit(1)
+    for name, mult in SCALE_WORDS.items():
+        out = F.when(word == name, F.lit(mult)).otherwise(out)
+    return out.cast("decimal(18,0)")
 
-    def multiplier(word: Column) -> Column:
-        out = F.lit(1)
-        for name, mult in SCALE_WORDS.items():
-            out = F.when(word == name, F.lit(mult)).otherwise(out)
-        return out.cast("decimal(18,0)")
 
-    return let(F.lower(F.regexp_extract(raw, _SCALE, 1)), multiplier)
+def detect_scale(raw: Column) -> Column:
+    """Multiplier of the scale word that ends a cell, else 1."""
+    return _multiplier(F.lower(F.regexp_extract(raw, _SCALE, 1)))
 
 
 def scale_multiplier(name: Column) -> Column:
@@ -144,31 +151,29 @@ def unit_for(kind: Column, currency: Column) -> Column:
     return F.when(kind.isin("PERCENT", "RATIO", "COUNT"), kind).otherwise(out)
 
 
-def normalise(raw: Column, locale: Column, unit: Column, monetary_scale: Column | None = None, band: tuple = PERCENT_BAND) -> Column:
-    """struct<value, error> in the field's unit: percent as such, a ratio as a
-    fraction, money in millions (a scale word in the cell overrides the
-    disclosure's scale), counts as they are. More errors: band (a percentage
-    outside it), percent (a percent sign on another unit)."""
+def normalise(df: DataFrame, out: str, raw: Column, locale: Column, unit: Column, monetary_scale: Column | None = None, band: tuple = PERCENT_BAND) -> DataFrame:
+    """``df`` with ``out``: struct<value, error> in the field's unit: percent
+    as such, a ratio as a fraction, money in millions (a scale word in the cell
+    overrides the disclosure's scale), counts as they are. More errors: band (a
+    percentage outside it), percent (a percent sign on another unit). Names
+    beginning with ``__nrm_`` are taken meanwhile."""
     scale = scale_multiplier(monetary_scale) if monetary_scale is not None else F.lit(10**6).cast("decimal(18,0)")
-    sign, money = raw.contains("%"), unit.isin(MONETARY_UNITS)
-    low, high = (F.lit(b).cast("decimal(10,0)") for b in band)
-
-    def finish(own: Column, parsed: Column) -> Column:
-        value, error = parsed["value"], parsed["error"]
-        # Powers of ten only, by multiplication: exact in decimals.
-        in_millions = value * (F.when(own != 1, own).otherwise(scale) * F.lit("0.000001").cast("decimal(7,6)")).cast("decimal(12,6)")
-        fraction = F.when(sign, value * F.lit("0.01").cast("decimal(3,2)")).otherwise(value)
-        percent = F.when((unit == "RATIO") & ~sign, value * 100).otherwise(value)
-        outside = unit.isin("PERCENT", "RATIO") & ~percent.between(low, high)
-        fault = F.when(~unit.isin("PERCENT", "RATIO") & sign, "percent").when(error.isNotNull(), error).when(outside, "band")
-        final = F.when(money, in_millions.cast(WIDE)).when(unit == "RATIO", fraction.cast(WIDE)).otherwise(value)
-        return let(fault, lambda e: _number(final, e))
-
-    def with_scale(own: Column) -> Column:
-        cell = F.when(money & (own != 1), F.regexp_replace(raw, _SCALE, "")).otherwise(raw)
-        return let(parse_decimal(cell, locale), lambda parsed: finish(own, parsed))
-
-    return let(detect_scale(raw), with_scale)
+    bound = df.withColumns({"__nrm_raw": raw, "__nrm_unit": unit, "__nrm_locale": locale}).withColumn("__nrm_word", F.lower(F.regexp_extract("__nrm_raw", _SCALE, 1)))
+    money, ratio = F.col("__nrm_unit").isin(MONETARY_UNITS), F.col("__nrm_unit") == "RATIO"
+    worded = bound.withColumn("__nrm_own", _multiplier(F.col("__nrm_word")))
+    cell = F.when(money & (F.col("__nrm_word") != ""), F.regexp_replace("__nrm_raw", _SCALE, "")).otherwise(F.col("__nrm_raw"))
+    parsed = parse_decimal(worded, "__nrm_parsed", cell, F.col("__nrm_locale"))
+    value, own, sign = F.col("__nrm_parsed.value"), F.col("__nrm_own"), F.col("__nrm_raw").contains("%")
+    # Powers of ten only, by multiplication: exact in decimals.
+    in_millions = value * (F.when(own != 1, own).otherwise(scale) * F.lit("0.000001").cast("decimal(7,6)")).cast("decimal(12,6)")
+    fraction = F.when(sign, value * F.lit("0.01").cast("decimal(3,2)")).otherwise(value)
+    percent = F.when(ratio & ~sign, value * 100).otherwise(value)
+    rate = F.col("__nrm_unit").isin("PERCENT", "RATIO")
+    outside = rate & ~percent.between(*(F.lit(b).cast("decimal(10,0)") for b in band))
+    fault = F.when(~rate & sign, "percent").when(F.col("__nrm_parsed.error").isNotNull(), F.col("__nrm_parsed.error")).when(outside, "band")
+    final = F.when(money, in_millions.cast(WIDE)).when(ratio, fraction.cast(WIDE)).otherwise(value)
+    done = parsed.withColumn("__nrm_fault", fault).withColumn(out, _number(final, F.col("__nrm_fault")))
+    return done.drop("__nrm_raw", "__nrm_unit", "__nrm_locale", "__nrm_word", "__nrm_own", "__nrm_parsed", "__nrm_fault")
 
 
 def parse_canonical(raw: Column) -> Column:

@@ -25,48 +25,69 @@ def aliases_of(template_fields: DataFrame, strict_footnotes: bool = False) -> Da
     ``strict_footnotes``: an alias that ends in a number keeps it, and so
     matches only labels that keep theirs.
     """
-    rows = template_fields.select("*", F.posexplode("aliases").alias("alias_ord", "alias")).drop("aliases")
-    tail = F.col("alias").rlike(r" [0-9]{1,2}$")
-    return rows.withColumn("label", norm_label(F.col("alias"), tail if strict_footnotes else None)).withColumn("keeps_tail", tail & F.lit(strict_footnotes))
+    rows = template_fields.select("*", F.posexplode("aliases").alias("alias_ord", "alias")).drop("aliases").withColumn("keeps_tail", F.col("alias").rlike(r" [0-9]{1,2}$") & F.lit(strict_footnotes))
+    return norm_label(rows, "label", F.col("alias"), F.col("keeps_tail"))
 
 
 def label_index(cells: DataFrame) -> DataFrame:
-    """(table, label, label_text, row_idx, label_col): each row's leftmost cell
-    with letters; of rows with the same label the topmost."""
-    labels = cells.filter(is_label(F.col("text")))
-    rows = labels.groupBy(*TABLE, "row_idx").agg(F.min_by(F.struct("text", "col_idx"), "col_idx").alias("c"))
-    named = rows.select(*TABLE, "row_idx", F.col("c.text").alias("label_text"), F.col("c.col_idx").alias("label_col"), norm_label(F.col("c.text")).alias("label"))
-    return named.groupBy(*TABLE, "label").agg(F.min_by(F.struct("row_idx", "label_text", "label_col"), "row_idx").alias("r"), F.count(F.lit(1)).alias("n")).select(*TABLE, "label", "r.row_idx", "r.label_text", "r.label_col", (F.col("n") > 1).alias("collides"))
+    """(table, label, label_text, row_idx, label_col, collides, cells): each
+    row's leftmost cell with letters and the row's cells; of rows with the same
+    label the topmost.
+
+    Cells are dealt by document once; every further grouping of a document's
+    tables, rows, labels and fields finds them in place. Documents and tables
+    are bounded by their pages.
+    """
+    dealt = cells.select(*TABLE, "row_idx", "col_idx", "text", "bbox").repartition("doc_id")
+    named = norm_label(dealt, "label", F.col("text"))
+    # Conditions stand in the aggregate: a filter would be pushed below the steps and repeat them.
+    first = F.min_by(F.struct("label", F.col("text").alias("label_text"), F.col("col_idx").alias("label_col")), F.when(is_label(F.col("label")), F.col("col_idx")))
+    rows = named.groupBy(*TABLE, "row_idx").agg(first.alias("l"), F.collect_list(F.struct("col_idx", "text", "bbox")).alias("cells")).filter("l is not null")
+    top = F.min_by(F.struct("row_idx", "l.label_text", "l.label_col", "cells"), "row_idx")
+    return rows.groupBy(*TABLE, F.col("l.label").alias("label")).agg(top.alias("r"), (F.count(F.lit(1)) > 1).alias("collides")).select(*TABLE, "label", "r.*", "collides")
 
 
 def match_rows(index: DataFrame, aliases: DataFrame) -> DataFrame:
     """Rows claimed by each field: its first alias, in the template's order, that is a label of the table."""
-    joined = index.join(F.broadcast(aliases.filter(~F.col("keeps_tail"))), "label")
-    return joined.groupBy(*TABLE, "template", "code").agg(F.min_by(F.struct("alias", "alias_ord", "row_idx", "label", "label_text", "label_col", "kind", "ecl", "floor", "field_ord"), "alias_ord").alias("m")).select(*TABLE, "template", "code", "m.*")
+    joined = index.join(F.broadcast(aliases.filter(~F.col("keeps_tail"))), "label")  # aliases are configuration
+    return joined.groupBy(*TABLE, "template", "code").agg(F.min_by(F.struct("alias", "alias_ord", "row_idx", "label", "label_text", "label_col", "cells", "kind", "ecl", "floor", "field_ord"), "alias_ord").alias("m")).select(*TABLE, "template", "code", "m.*")
+
+
+def _claims(cells: DataFrame, template_fields: DataFrame, docs: DataFrame, min_matches: int, strict_footnotes: bool) -> DataFrame:
+    """Rows claimed in the chosen table of each document and engine, with the
+    document's filing and the table's ``score``."""
+    matched = match_rows(label_index(cells), aliases_of(template_fields, strict_footnotes)).join(docs, ["doc_id", "template"])
+    scored = matched.withColumn("score", F.count("code").over(Window.partitionBy("doc_id", "template", "engine", "table_idx")))
+    place = F.struct("score", (-F.col("table_idx")).alias("t"))
+    best = scored.withColumn("__best", F.max(place).over(Window.partitionBy("doc_id", "template", "engine")))
+    return best.filter((F.col("__best.score") == F.col("score")) & (F.col("__best.t") == -F.col("table_idx")) & (F.col("score") >= min_matches)).drop("__best")
 
 
 def classify(cells: DataFrame, template_fields: DataFrame, docs: DataFrame, min_matches: int = MIN_MATCHES, strict_footnotes: bool = False) -> DataFrame:
     """(doc_id, engine, template, table_idx, score): the table of each document
     that matches most of its template's fields, at least ``min_matches``; ties
     go to the first table."""
-    matched = match_rows(label_index(cells), aliases_of(template_fields, strict_footnotes)).join(F.broadcast(docs.select("doc_id", "template")), ["doc_id", "template"])
-    scores = matched.groupBy(*TABLE, "template").agg(F.count_distinct("code").alias("score"))
-    best = scores.groupBy("doc_id", "engine", "template").agg(F.max(F.struct("score", (-F.col("table_idx")).alias("t"))).alias("b"))
-    return best.select("doc_id", "engine", "template", (-F.col("b.t")).cast("int").alias("table_idx"), F.col("b.score").alias("score")).filter(F.col("score") >= min_matches)
+    claims = _claims(cells, template_fields, docs, min_matches, strict_footnotes)
+    return claims.groupBy("doc_id", "engine", "template", "table_idx").agg(F.max("score").alias("score"))
 
 
-def _first_values(claims: DataFrame, cells: DataFrame, docs: DataFrame) -> DataFrame:
-    """The first cell right of each claimed row's label that is a number in the field's unit."""
-    right = claims.join(cells.select(*TABLE, "row_idx", "col_idx", "text", "bbox"), [*TABLE, "row_idx"]).filter("col_idx > label_col")
-    placed = right.join(docs, ["doc_id", "template"]).withColumn("unit", unit_for(F.col("kind"), F.col("reporting_currency")))
-    parsed = placed.withColumn("__p", normalise(F.col("text"), F.col("number_locale"), F.col("unit"), F.col("monetary_scale"))).filter("__p.error is null")
-    first = F.min_by(F.struct(F.col("text").alias("raw_text"), "bbox", F.col("__p.value").alias("wide"), "unit", "alias", "label_text", "kind", "ecl", "floor", "field_ord", "bank", "period", "source_url", "monetary_scale"), "col_idx")
-    return parsed.groupBy(*TABLE, "template", "code").agg(first.alias("v")).select(*TABLE, "template", "code", "v.*")
+def _first_values(claims: DataFrame) -> DataFrame:
+    """The claims with ``v``: the first cell right of each claimed row's label
+    that is a number in the field's unit, null if there is none."""
+    keep = [c for c in claims.columns if c != "cells"]
+    right = claims.select(*keep, F.explode_outer(F.filter("cells", lambda c: c["col_idx"] > F.col("label_col"))).alias("c"))
+    placed = right.withColumn("unit", unit_for(F.col("kind"), F.col("reporting_currency")))
+    parsed = normalise(placed, "__p", F.col("c.text"), F.col("number_locale"), F.col("unit"), F.col("monetary_scale"))
+    found = F.struct(F.col("c.text").alias("raw_text"), F.col("c.bbox").alias("bbox"), F.col("__p.value").alias("wide"), "unit")
+    first = F.min_by(found, F.when(F.col("__p.value").isNotNull(), F.col("c.col_idx")))
+    key = ["doc_id", "template", "engine", "table_idx", "code"]
+    return parsed.groupBy(*key).agg(first.alias("v"), *[F.first(c).alias(c) for c in keep if c not in key])
 
 
 def _as_values(found: DataFrame, mapping: Column) -> DataFrame:
+    """Claims that found a number, as field values."""
     value = F.col("wide").cast(S.COMPUTE)
-    out = found.select(
+    out = found.filter("v is not null").select("*", "v.*").select(
         "bank", "period", "template", "doc_id", F.col("code").alias("field_code"), value.alias("value"), "unit",
         F.col("ecl").alias("ecl_basis"), F.col("floor").alias("floor_basis"), "engine", F.lit("PDF").alias("source_kind"),
         "source_url", "bbox", "monetary_scale", mapping.alias("mapping"), "raw_text", F.create_map(F.col("engine"), value).alias("engine_values"),
@@ -81,25 +102,26 @@ def _none(*names: str) -> list[Column]:
 def map_fields(cells: DataFrame, template_fields: DataFrame, docs: DataFrame, min_matches: int = MIN_MATCHES, strict_footnotes: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(field values, unmatched fields, documents without a usable table).
 
-    Unmatched: (doc_id, engine, template, code, field_ord) of the chosen
-    table's template fields that no row gave a number.
+    Unmatched: (doc_id, engine, template, table_idx, code, field_ord) of the
+    chosen table's template fields that no row gave a number.
     """
-    chosen = classify(cells, template_fields, docs, min_matches, strict_footnotes)
-    table = cells.join(chosen.select(*TABLE, "template"), TABLE)
-    claims = match_rows(label_index(table.drop("template")), aliases_of(template_fields, strict_footnotes)).join(chosen.select(*TABLE, "template"), [*TABLE, "template"])
-    found = _first_values(claims, cells, docs)
+    found = _first_values(_claims(cells, template_fields, docs, min_matches, strict_footnotes))
     rule = F.struct(F.lit("RULE").alias("method"), *_none("model", "prompt_sha", "prompt_version"), F.col("alias").alias("matched_alias"), F.lit(1.0).alias("confidence"))
     values = _as_values(found, rule)
-    wanted = chosen.select("doc_id", "engine", "template", "table_idx").join(F.broadcast(template_fields.select("template", "code", "field_ord")), "template")
-    unmatched = wanted.join(found.select("doc_id", "engine", "template", "code"), ["doc_id", "engine", "template", "code"], "left_anti")
-    without = docs.select("doc_id", "bank", "period", "template").join(chosen.select("doc_id", "template"), ["doc_id", "template"], "left_anti").withColumn("error", F.lit("no table matches the template"))
+    have = found.groupBy("doc_id", "template", "engine", "table_idx").agg(F.collect_set(F.when(F.col("v").isNotNull(), F.col("code"))).alias("have"))
+    wanted = template_fields.groupBy("template").agg(F.collect_list(F.struct("code", "field_ord")).alias("fields"))
+    missing = have.join(F.broadcast(wanted), "template").select("doc_id", "engine", "template", "table_idx", F.explode(F.filter("fields", lambda f: ~F.array_contains("have", f["code"]))).alias("f"))
+    unmatched = missing.select("doc_id", "engine", "template", "table_idx", "f.code", "f.field_ord")
+    chosen = have.select("doc_id", "template")
+    without = docs.select("doc_id", "bank", "period", "template").join(chosen, ["doc_id", "template"], "left_anti").withColumn("error", F.lit("no table matches the template"))
     return values, unmatched, without
 
 
 def unused_rows(cells: DataFrame, unmatched: DataFrame, template_fields: DataFrame) -> DataFrame:
-    """(table, label, label_text, row_idx, label_col) of rows that no matched field claims: candidates of the fallback."""
+    """(table, label, label_text, row_idx, label_col, cells) of rows that no
+    matched field claims: candidates of the fallback."""
     tables = unmatched.select(*TABLE, "template").distinct()
-    index = label_index(cells.join(tables.drop("template").distinct(), TABLE, "left_semi"))
+    index = label_index(cells.join(tables.drop("template").distinct(), TABLE, "left_semi")).drop("collides")
     claims = match_rows(index, aliases_of(template_fields)).join(tables, [*TABLE, "template"], "left_semi")
     owned = claims.join(unmatched.select(*TABLE, "template", "code"), [*TABLE, "template", "code"], "left_anti")
     return index.join(owned.select(*TABLE, "label").distinct(), [*TABLE, "label"], "left_anti")
@@ -133,15 +155,16 @@ def map_unmatched(cells: DataFrame, unmatched: DataFrame, template_fields: DataF
     rows = unused_rows(cells, unmatched, template_fields)
     asked = unmatched.select(*TABLE, "template", "code", F.lit(True).alias("asked"))
     spec = template_fields.select("template", "code", "kind", "ecl", "floor", "field_ord")
-    seen = decisions.withColumn("label_key", norm_label(F.col("label"))).join(asked, [*TABLE, "code"], "left")
-    placed = seen.join(rows.select(*TABLE, F.col("label").alias("label_key"), "row_idx", "label_text", "label_col"), [*TABLE, "label_key"], "left")
+    seen = norm_label(decisions, "label_key", F.col("label")).join(asked, [*TABLE, "code"], "left")
+    placed = seen.join(rows.withColumnRenamed("label", "label_key"), [*TABLE, "label_key"], "left")
     sure = F.col("confidence").between(0, 1) & ~F.isnan("confidence")
     reason = F.when(F.col("asked").isNull(), "out_of_scope").when(~F.coalesce(sure, F.lit(False)), "bad_confidence").when(F.col("label").isNull(), "no_row").when(F.col("row_idx").isNull(), "unknown_row")
     judged = placed.withColumn("reason", reason)
-    claims = judged.filter("reason is null").join(F.broadcast(spec), ["template", "code"]).withColumn("alias", F.col("label_text"))
-    found = _first_values(claims, cells, docs).join(claims.select(*TABLE, "code", F.col("confidence").alias("sure"), "model", "prompt_sha", "prompt_version"), [*TABLE, "code"])
-    picked = F.struct(F.lit("LLM").alias("method"), "model", "prompt_sha", "prompt_version", F.col("label_text").alias("matched_alias"), F.col("sure").cast("double").alias("confidence"))
-    audit = judged.join(found.select(*TABLE, "code", F.lit("mapped").alias("ok")), [*TABLE, "code"], "left").select(*TABLE, "code", "label", "confidence", F.coalesce("reason", "ok", F.lit("no_number")).alias("reason"))
+    claims = judged.filter("reason is null").join(F.broadcast(spec), ["template", "code"]).join(docs, ["doc_id", "template"])  # the spec is configuration
+    found = _first_values(claims)
+    picked = F.struct(F.lit("LLM").alias("method"), "model", "prompt_sha", "prompt_version", F.col("label_text").alias("matched_alias"), F.col("confidence").cast("double").alias("confidence"))
+    mapped = found.filter("v is not null").select(*TABLE, "code", F.lit("mapped").alias("ok"))
+    audit = judged.join(mapped, [*TABLE, "code"], "left").select(*TABLE, "code", "label", "confidence", F.coalesce("reason", "ok", F.lit("no_number")).alias("reason"))
     return _as_values(found, picked), audit
 
 

@@ -197,28 +197,28 @@ def _lines(spark, sf):
 def normalise_en(spark, sf):
     cells = _lines(spark, sf).withColumn("raw", F.format_number("l_extendedprice", 2))
     raw = F.when(F.col("l_linenumber") % 4 == 1, F.concat(F.lit("("), F.col("raw"), F.lit(")"))).when(F.col("l_linenumber") % 4 == 2, F.concat(F.lit("£"), F.col("raw"), F.lit("¹"))).when(F.col("l_linenumber") % 4 == 3, F.concat(F.lit(" USD "), F.col("raw"), F.lit("* "))).otherwise(F.col("raw"))
-    parsed = cells.select("l_orderkey", "l_linenumber", numbers.parse_decimal(raw, F.lit("en_GB")).alias("p"))
+    parsed = numbers.parse_decimal(cells, "p", raw, F.lit("en_GB"))
     return _double(parsed.select("l_orderkey", "l_linenumber", F.col("p.value").alias("value"), F.col("p.error").alias("error")))
 
 
 def normalise_locales(spark, sf):
     cells = _lines(spark, sf).withColumn("loc", F.element_at(F.array(F.lit("en_US"), F.lit("de_DE"), F.lit("fr_FR")), (F.col("l_suppkey") % 3 + 1).cast("int")))
     raw = F.when(F.col("loc") == "en_US", F.format_number("l_extendedprice", 2)).when(F.col("loc") == "de_DE", _rendered(spark, sf, ".,")).otherwise(_rendered(spark, sf, " ,"))
-    parsed = cells.select("l_orderkey", "l_linenumber", "loc", numbers.parse_decimal(raw, F.col("loc")).alias("p"))
+    parsed = numbers.parse_decimal(cells, "p", raw, F.col("loc"))
     return _double(parsed.select("l_orderkey", "l_linenumber", "loc", F.col("p.value").alias("value"), F.col("p.error").alias("error")))
 
 
 def normalise_reject_reasons(spark, sf):
     bad = ["", "n/a", "1,2,3", "12,34", "1.2.3", "abc", "£", "7"]
     cells = _lines(spark, sf).withColumn("raw", F.element_at(F.array(*[F.lit(b) for b in bad]), (F.col("l_orderkey") % 8 + 1).cast("int")))
-    parsed = cells.select(numbers.parse_decimal(F.col("raw"), F.lit("en_GB"))["error"].alias("error"))
-    return parsed.groupBy(F.coalesce("error", F.lit("ok")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    parsed = numbers.parse_decimal(cells, "p", F.col("raw"), F.lit("en_GB"))
+    return parsed.groupBy(F.coalesce("p.error", F.lit("ok")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def scale_lift(spark, sf):
     cells = _lines(spark, sf).withColumn("word", F.element_at(F.array(F.lit(""), F.lit("m"), F.lit(" bn"), F.lit("k")), (F.col("l_suppkey") % 4 + 1).cast("int")))
     raw = F.concat(F.format_number("l_extendedprice", 2), F.col("word"))
-    parsed = cells.select("l_orderkey", "l_linenumber", "l_suppkey", numbers.normalise(raw, F.lit("en_US"), F.lit("USD_M"), F.lit("billions")).alias("p"))
+    parsed = numbers.normalise(cells, "p", raw, F.lit("en_US"), F.lit("USD_M"), F.lit("billions"))
     return parsed.select("l_orderkey", "l_linenumber", (F.col("p.value") * 100000).cast("bigint").alias("value_e5"), F.col("p.error").alias("error"))
 
 
@@ -293,7 +293,7 @@ def period_candidates(spark, sf):
 def label_normalise(spark, sf):
     p = _t(spark, sf, "part")
     raw = F.concat(F.lit("  "), (F.col("p_size")).cast("string"), F.lit("a.  "), F.upper("p_name"), F.lit("  "), (F.col("p_partkey") % 100).cast("string"))
-    return p.select("p_partkey", labels.norm_label(raw).alias("label"))
+    return labels.norm_label(p, "label", raw).select("p_partkey", "label")
 
 
 def review_latest(spark, sf):

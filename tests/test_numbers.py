@@ -26,12 +26,13 @@ BAD = [
     ("abc", "en_GB", "residue"), ("12.3.4", "de_DE", "grouping"), ("1,2,3", "de_DE", "separators"), ("£", "en_GB", "no_digits"), ("()", "en_GB", "no_digits"), ("%", "en_GB", "no_digits"),
     ("-£5", "en_GB", "residue"), ("$(1,234)", "en_US", "grouping"), ("(5)¹", "en_GB", "residue"), ("−5", "en_GB", "residue"), ("1234,567", "en_GB", "grouping"),
     ("1,234", "zz_ZZ", "unknown_locale"), ("1,234", None, "unknown_locale"), ("(1.2bn)", "en_GB", "residue"), ("٣", "en_GB", "residue"), ("1" * 30, "en_GB", "too_long"), (".", "en_GB", "no_digits"), ("1 234", "en_GB", "residue"),
+    ("1.234 567", "fr_FR", "grouping"), ("1.234", "fr_FR", "residue"), ("1 2345", "fr_FR", "grouping"), ("1,2,3", "fr_FR", "separators"), ("1'234", "de_CH", "residue"), ("1\x01", "en_GB", "residue"), ("\x02", "en_GB", "residue"), ("-", "zz_ZZ", "unknown_locale"), ("(-)", "en_GB", "no_digits"),
 ]
 
 
 def test_parse_decimal(spark):
     df = spark.createDataFrame([(i, r, loc) for i, (r, loc, _) in enumerate(GOOD + BAD)], "i int, raw string, loc string")
-    got = {r["i"]: r["p"] for r in df.select("i", N.parse_decimal(F.col("raw"), F.col("loc")).alias("p")).collect()}
+    got = {r["i"]: r["p"] for r in N.parse_decimal(df, "p", F.col("raw"), F.col("loc")).collect()}
     for i, (raw, loc, want) in enumerate(GOOD):
         assert got[i]["error"] is None and got[i]["value"] == D(want), (raw, loc, got[i])
     for i, (raw, loc, want) in enumerate(BAD, len(GOOD)):
@@ -55,7 +56,7 @@ UNITS = [
 
 def test_normalise(spark):
     df = spark.createDataFrame([(i, *u) for i, u in enumerate(UNITS)], "i int, raw string, loc string, unit string, scale string, want string")
-    for r in df.select("raw", "want", N.normalise(F.col("raw"), F.col("loc"), F.col("unit"), F.col("scale")).alias("p")).collect():
+    for r in N.normalise(df, "p", F.col("raw"), F.col("loc"), F.col("unit"), F.col("scale")).collect():
         if r["want"][0] == "!":
             assert r["p"]["error"] == r["want"][1:] and r["p"]["value"] is None, r
         else:
