@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import materialise, numbered, small_batches
+from .shared import lookup_join, materialise, numbered, small_batches
 
 MAX_BITS = 2
 SHINGLE_WORDS = 3
@@ -283,7 +283,12 @@ def links(rows: DataFrame, indexed: list[str] | None = None, node: str = "fp", m
         if tail is not None and len(tail[0]) > 1:
             yield out(tail)
 
-    return lists.mapInArrow(run, "a bigint, b bigint").distinct()
+    found = lists.mapInArrow(run, "a bigint, b bigint")
+    # A member of many lists hangs on another smallest member in each: keep its link to the least of these and link the
+    # others to that one, so that a crowd of near copies leaves about a link per member. There is one per list at most.
+    held = found.groupBy("b").agg(F.collect_set("a").alias("roots")).withColumn("a", F.array_min("roots"))
+    ends = F.concat(F.array("b"), F.array_remove("roots", F.col("a")))
+    return held.select("a", F.explode(ends).alias("b")).distinct()
 
 
 def near_duplicate_classes(fps: DataFrame, id_col: str = "doc_id", max_bits: int = MAX_BITS, word_bits: int | None = None, verify_bits: int = VERIFY_BITS) -> DataFrame:
@@ -302,9 +307,11 @@ def near_duplicate_classes(fps: DataFrame, id_col: str = "doc_id", max_bits: int
         words = [c for c in fps.columns if c.startswith("words_")]
         near = links(fps.select("fp", *words).distinct(), words, "fp", word_bits, verify_bits)
     roots = connected_components(near)
-    joined = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    return materialise(joined.join(least, "root").select("fp", "root", "component_id"), "simhash-components")
+    joined = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "least", "root")
+    # Only components of several classes need a lookup; a crowd's many rows meet its one row there.
+    several = materialise(joined.filter("root is not null").groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
+    found = lookup_join(joined.withColumn("alone", F.col("root").isNull()), several, ["root"])
+    return materialise(found.select("fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("alone"), F.col("least")).otherwise(F.col("component_id")).alias("component_id")), "simhash-components")
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, width: int = SHINGLE_WORDS) -> DataFrame:
