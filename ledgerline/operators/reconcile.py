@@ -178,26 +178,10 @@ def magnitude_sanity(values: DataFrame, bands: DataFrame) -> DataFrame:
     return rows.select(*S.FILING, *[F.col(f"c.{c}").alias(c) for c in _CHECK])
 
 
-def run_checks(values: DataFrame, operands: DataFrame, bands: DataFrame, tolerances: Tolerances, on_basis_error: str = "raise") -> DataFrame:
-    """All checks of all filings. ``on_basis_error``: 'raise' (any ERROR fails
-    the job, naming it) or 'quarantine' (ERROR stays as a row, see ``route``)."""
-    if on_basis_error not in ("raise", "quarantine"):
-        raise ValueError(f"on_basis_error: {on_basis_error}")
-    identities = _identity_rows(values, operands, tolerances)
-    if on_basis_error == "raise":
-        _require_basis(identities)
-    return identities.unionByName(two_engine(values, tolerances)).unionByName(magnitude_sanity(values, bands))
-
-
 def _require_basis(identities: DataFrame) -> None:
     S.require(identities, F.col("outcome") == "ERROR", BasisError, F.concat_ws(" ", "bank", "period", "check_id", "detail"))
 
 
-def applicable(checks: DataFrame) -> DataFrame:
-    """Checks by the fields they touch: an equi-join key instead of a containment test."""
-    return checks.withColumn("field_code", F.explode("field_codes"))
-
-
 def confidence(outcomes: Column, weights: Weights) -> Column:
     """Product of the weights of (check_type, outcome) pairs, within [0, 1];
     without a PASS or FAIL the unchecked weight. Magnitude is left out here."""
@@ -211,21 +195,13 @@ def confidence(outcomes: Column, weights: Weights) -> Column:
     return F.when(fired, F.greatest(_dec(0, kind), F.least(_dec(1, kind), product.cast(kind)))).otherwise(_dec(weights.unchecked, kind))
 
 
-def route(values: DataFrame, checks: DataFrame, weights: Weights, threshold=AUTO_ACCEPT) -> DataFrame:
-    """Values with ``checks``, ``confidence``, ``validation_basis`` and ``status``.
+def _score(joined: DataFrame, columns: list[str], weights: Weights, threshold) -> DataFrame:
+    """Values with ``checks``, ``confidence``, ``validation_basis`` and
+    ``status``, from each field's list of checks ``__c``.
 
     AUTO_PASSED: confident enough, nothing failed, and some check passed. A
     magnitude failure vetoes. A basis error in quarantine flags its fields.
     """
-    ord_ = F.element_at(F.create_map(*[F.lit(x) for k, v in ORDER.items() for x in (k, v)]), F.col("check_type"))
-    listed = F.array_sort(F.collect_list(F.struct(ord_.alias("ord"), "check_id", *[c for c in _CHECK if c != "check_id"])))
-    per_field = applicable(checks).groupBy(*S.FILING, "field_code").agg(listed.alias("__c"))
-    joined = values.join(per_field, [*S.FILING, "field_code"], "left").withColumn("__c", F.coalesce("__c", F.array().cast(f"array<struct<ord:int,check_id:string,check_type:string,outcome:string,field_codes:array<string>,expected:{S.WIDE},actual:{S.WIDE},tolerance:{S.WIDE},detail:string>>")))
-    return _score(joined, values.columns, weights, threshold)
-
-
-def _score(joined: DataFrame, columns: list[str], weights: Weights, threshold) -> DataFrame:
-    """Confidence and status from each field's list of checks ``__c``."""
     error = F.exists("__c", lambda c: c["outcome"] == "ERROR")
     insane = F.exists("__c", lambda c: (c["check_type"] == "MAGNITUDE_SANITY") & (c["outcome"] == "FAIL"))
     failed = F.exists("__c", lambda c: c["outcome"] == "FAIL")

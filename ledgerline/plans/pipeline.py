@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..errors import NoTemplateTableError
 from ..operators import analytics, mapping, reconcile
-from ..sources import config, review, store
+from ..sources import config, review, store, structured
 from . import schema as S
 
 
@@ -60,11 +60,29 @@ def known_documents(names: DataFrame, banks: DataFrame, template: str, period: s
     return good, bad
 
 
-def sweep(spark: SparkSession, cells: DataFrame, docs: DataFrame, banks: DataFrame, run_id: str, extracted_at: str, store_path: str, queue_path: str, secondary: DataFrame | None = None, decisions: DataFrame | None = None, errors: DataFrame | None = None) -> DataFrame:
-    """All documents in one job: extract, reconcile, store, enqueue; returns
-    the tally per bank. A document that fails is an error row, never the end
-    of the sweep. Results are written to the store first, then the queue."""
-    values, bad = extract_template(spark, cells, docs, secondary, decisions)
+def structured_values(spark: SparkSession, filings: DataFrame, docs: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(field values, errors) of structured filings (see
+    ``structured.read_filings(on_error="rows")``): a file that cannot be read
+    or maps to nothing is an error row, or raises with ``strict``."""
+    fields = config.template_fields(spark, *[r[0] for r in docs.select("template").distinct().collect()])
+    known = docs.select("doc_id", "bank", "period", "reporting_currency", "source_url")
+    values = structured.field_values(filings.filter("error is null").drop("error"), config.datapoint_map(spark), fields, known)
+    broken = filings.filter("error is not null").select("doc_id", "error").dropDuplicates(["doc_id"])
+    named = docs.select("doc_id", "bank", "period", "template")
+    errors = named.join(broken, "doc_id")
+    empty = named.join(broken.select("doc_id").unionByName(values.select("doc_id").distinct()), "doc_id", "left_anti").withColumn("error", F.lit("no field could be mapped"))
+    errors = errors.unionByName(empty)
+    if strict:
+        S.require(errors, F.lit(True), NoTemplateTableError, F.concat_ws(" ", "doc_id", "error"))
+    return values, errors
+
+
+def sweep(spark: SparkSession, cells: DataFrame | None, docs: DataFrame, banks: DataFrame, run_id: str, extracted_at: str, store_path: str, queue_path: str, secondary: DataFrame | None = None, decisions: DataFrame | None = None, errors: DataFrame | None = None, filings: DataFrame | None = None) -> DataFrame:
+    """All documents in one job: extract from ``cells`` (or take structured
+    ``filings``), reconcile, store, enqueue; returns the tally per bank. A
+    document that fails is an error row, never the end of the sweep. Results
+    are written to the store first, then the queue."""
+    values, bad = extract_template(spark, cells, docs, secondary, decisions) if filings is None else structured_values(spark, filings, docs)
     values = values.persist()  # results and errors both read them
     results = reconcile_values(spark, values, "quarantine").persist()
     try:
@@ -87,4 +105,4 @@ def summary_lines(tally: DataFrame) -> DataFrame:
 def newest_version(manifest: DataFrame) -> DataFrame:
     """Of each bank, period and template the document fetched last."""
     w = Window.partitionBy("bank_id", "period", "template").orderBy(F.desc("fetched_at"), "sha256")
-    return manifest.filter("status = 'ok'").withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+    return manifest.filter("status = 'fetched'").withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")

@@ -319,7 +319,7 @@ def store_rows(spark, sf):
 
 
 def newest_version(spark, sf):
-    d = _t(spark, sf, "documents").select(F.col("source").alias("bank_id"), F.concat(F.lit("202"), (F.col("doc_id") % 5).cast("string"), F.lit("Q1")).alias("period"), F.col("lang").alias("template"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("fetched_at"), F.lit("x").alias("sha256"), F.lit("ok").alias("status"))
+    d = _t(spark, sf, "documents").select(F.col("source").alias("bank_id"), F.concat(F.lit("202"), (F.col("doc_id") % 5).cast("string"), F.lit("Q1")).alias("period"), F.col("lang").alias("template"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("fetched_at"), F.lit("x").alias("sha256"), F.lit("fetched").alias("status"))
     return pipeline.newest_version(d).select("bank_id", "period", "template", "fetched_at")
 
 
@@ -351,7 +351,7 @@ def oracle_sql() -> dict[str, str]:
         "golden_compare": f"WITH {_GOLDEN} SELECT bank, period, field_code, outcome FROM o WHERE outcome IS NOT NULL",
         "golden_accuracy": f"WITH {_GOLDEN} SELECT bank, period, count(*) FILTER (outcome = 'CORRECT') AS n_correct, count(*) FILTER (outcome = 'MISMATCH') AS n_mismatch, count(*) FILTER (outcome = 'MISSING') AS n_missing, count(*) FILTER (outcome = 'EXTRA') AS n_extra FROM o WHERE outcome IS NOT NULL GROUP BY bank, period",
         "exact_match_score": f"WITH {_GOLDEN} SELECT period, count(*) FILTER (outcome = 'CORRECT') AS matches, count(*) AS n FROM o WHERE k % 13 <> 0 GROUP BY period",
-        "registry_dedupe": "WITH d AS (SELECT source AS bank_id, lpad(CAST(doc_id AS VARCHAR), 12, '0') AS url, sha256(text) AS sha256 FROM documents) SELECT bank_id, url, sha256, '/store/' || sha256 || '.pdf' AS local_path, CASE WHEN row_number() OVER (PARTITION BY sha256 ORDER BY bank_id, url) = 1 THEN 'ok' ELSE 'skipped_dup' END AS status FROM d",
+        "registry_dedupe": "WITH d AS (SELECT source AS bank_id, lpad(CAST(doc_id AS VARCHAR), 12, '0') AS url, sha256(text) AS sha256 FROM documents) SELECT bank_id, url, sha256, '/store/' || sha256 || '.pdf' AS local_path, CASE WHEN row_number() OVER (PARTITION BY sha256 ORDER BY bank_id, url) = 1 THEN 'fetched' ELSE 'skipped_dup' END AS status FROM d",
         "normalise_en": f"SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 4 = 1 THEN -{price} ELSE {price} END AS value, CAST(NULL AS VARCHAR) AS error FROM lineitem",
         "normalise_locales": f"SELECT l_orderkey, l_linenumber, CASE l_suppkey % 3 WHEN 0 THEN 'en_US' WHEN 1 THEN 'de_DE' ELSE 'fr_FR' END AS loc, {price} AS value, CAST(NULL AS VARCHAR) AS error FROM lineitem",
         "normalise_reject_reasons": "SELECT CASE l_orderkey % 8 WHEN 0 THEN 'empty' WHEN 1 THEN 'placeholder' WHEN 2 THEN 'grouping' WHEN 3 THEN 'grouping' WHEN 4 THEN 'separators' WHEN 5 THEN 'residue' WHEN 6 THEN 'no_digits' ELSE 'ok' END AS reason, count(*) AS n FROM lineitem GROUP BY ALL",

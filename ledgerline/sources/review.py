@@ -55,27 +55,40 @@ def load(spark: SparkSession, path: str) -> DataFrame:
     return S.require(items, ~F.coalesce(F.col("value").rlike(_DECIMAL), F.lit(False)), ReviewError, F.concat(F.lit("value is not a decimal: "), F.coalesce("value", F.lit("null"))))
 
 
-def resolutions(spark: SparkSession, rows: list[dict]) -> DataFrame:
+EVENT = "run_id string, bank string, period string, field_code string, action string, corrected_value string, note string, resolved_at string"
+KEY = ["run_id", "bank", "period", "field_code"]
+
+
+def resolutions(spark: SparkSession, rows: list[dict], items: DataFrame | None = None) -> DataFrame:
     """Resolution events (run_id, bank, period, field_code, action confirm or
     correct, corrected_value, note, resolved_at). A correction needs a decimal
-    value; a confirmation must not have one."""
+    value; a confirmation must not have one. ``items``: the queue, in which
+    each event's run and field must stand."""
     for r in rows:
         if r["action"] not in ("confirm", "correct"):
             raise ReviewError(f"{r['field_code']}: unknown action {r['action']}")
         if (r["action"] == "correct") != (r.get("corrected_value") is not None):
             raise ReviewError(f"{r['field_code']}: a correction needs a value, a confirmation none")
-    ddl = "run_id string, bank string, period string, field_code string, action string, corrected_value string, note string, resolved_at string"
-    names = [c.split()[0] for c in ddl.split(", ")]
-    df = spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], ddl)
+    names = [c.split()[0] for c in EVENT.split(", ")]
+    df = spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], EVENT)
+    if items is not None:
+        S.require(df.join(items.select(*KEY).distinct(), KEY, "left_anti"), F.lit(True), ReviewError, F.concat(F.lit("not in the queue: "), F.concat_ws(" ", *KEY)))
     return S.require(df, F.col("corrected_value").isNotNull() & ~F.col("corrected_value").rlike(_DECIMAL), ReviewError, F.concat(F.lit("not a decimal: "), "corrected_value"))
 
 
+def load_events(spark: SparkSession, path: str | None) -> DataFrame:
+    """The resolution events under a path; a missing one has none."""
+    try:
+        return spark.read.schema(EVENT).parquet(path) if path else spark.createDataFrame([], EVENT)
+    except AnalysisException:
+        return spark.createDataFrame([], EVENT)
+
+
 def resolved(items: DataFrame, events: DataFrame) -> DataFrame:
     """Items under their latest resolution: confirmed ones keep their value,
     corrected ones take the new one; unresolved ones stay flagged."""
-    key = ["run_id", "bank", "period", "field_code"]
-    last = events.withColumn("__n", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("resolved_at"), F.desc("action")))).filter("__n = 1")
-    joined = items.join(last.select(*key, "action", "corrected_value", F.col("note").alias("__note")), key, "left")
+    last = events.withColumn("__n", F.row_number().over(Window.partitionBy(*KEY).orderBy(F.desc("resolved_at"), F.desc("action")))).filter("__n = 1")
+    joined = items.join(last.select(*KEY, "action", "corrected_value", F.col("note").alias("__note")), KEY, "left")
     status = F.when(F.col("action") == "confirm", "HUMAN_CONFIRMED").when(F.col("action") == "correct", "HUMAN_CORRECTED").otherwise(F.col("status"))
     return joined.withColumns({"status": status, "value": F.coalesce("corrected_value", "value"), "note": F.coalesce("__note", "note")}).drop("action", "corrected_value", "__note")
 
@@ -90,22 +103,25 @@ def write_back(dataset: DataFrame, settled: DataFrame) -> DataFrame:
     return joined.withColumns({"value": F.when(flagged, F.col("__v")).otherwise(F.col("value")), "status": F.when(flagged, F.col("__s")).otherwise(F.col("status"))}).select(*dataset.columns)
 
 
-def _g(x: Column) -> Column:
+def _short(x: Column) -> Column:
     """A double as short as it reads."""
     return F.regexp_replace(F.call_function("format_number", x, F.lit("0.######")), r"\.0+$", "")
 
 
 def render(items: DataFrame) -> DataFrame:
-    """One card per item: the value beside its source cell."""
-    values = F.map_values("engine_values")
-    engines = F.when(F.size("engine_values") == 0, "(none)").otherwise(F.concat(F.array_join(F.transform(F.map_entries("engine_values"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "  "), F.when(F.size(F.array_distinct(values)) > 1, "   (disagreement)").otherwise("")))
-    checks = F.when(F.size("checks") == 0, "NO_CHECKS").otherwise(F.array_join(F.transform("checks", lambda c: F.concat(c[0], F.lit(" "), c[1], F.when(F.coalesce(c[2], F.lit("")) != "", F.concat(F.lit(" ("), c[2], F.lit(")"))).otherwise(""))), "; "))
-    b = F.col("bbox")
-    place = F.concat(F.coalesce("source_url", F.lit("")), F.lit("  p"), F.coalesce(F.col("page").cast("string"), F.lit("NA")), F.lit("  bbox("), F.when(b.isNull(), "NA").otherwise(F.concat_ws(",", *[_g(b[c]) for c in ("x0", "y0", "x1", "y1")])), F.lit(")"))
-    card = F.concat_ws(
-        "\n",
-        F.concat_ws("  ", "status", F.concat_ws(" ", "bank", "period"), "field_code"),
-        F.concat(F.lit("  extracted:  "), F.col("value"), F.lit(" "), F.col("unit"), F.lit('   (raw cell: "'), F.coalesce("raw_text", F.lit("")), F.lit('")')),
-        F.concat(F.lit("  engines:    "), engines), F.concat(F.lit("  checks:     "), checks), F.concat(F.lit("  source:     "), place), F.concat(F.lit("  confidence: "), F.col("confidence")),
-    )
-    return items.withColumn("card", card)
+    """A ``card`` per item: what is doubted, why, and where to look."""
+    b, entries = F.col("bbox"), F.map_entries("engine_values")
+    readings = F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit(" "), e["value"])), " | ")
+    differ = F.size(F.array_distinct(F.map_values("engine_values"))) > 1
+    told = lambda c: F.concat_ws(": ", F.concat_ws(" ", c[0], c[1]), F.when(c[2] != "", c[2]))
+    corner = lambda x, y: F.concat(F.lit("("), _short(b[x]), F.lit(", "), _short(b[y]), F.lit(")"))
+    area = F.when(b.isNull(), F.lit("no box")).otherwise(F.concat(corner("x0", "y0"), F.lit(" to "), corner("x1", "y1")))
+    lines = [
+        F.concat(F.lit("["), F.col("status"), F.lit("] "), F.concat_ws(" / ", "bank", "period", "field_code", "run_id")),
+        F.concat(F.lit("    "), F.concat_ws(" ", "value", "unit"), F.lit(" at confidence "), F.col("confidence"), F.lit(", from the cell '"), F.coalesce("raw_text", F.lit("")), F.lit("'")),
+        F.concat(F.lit("    "), F.coalesce(F.concat(F.lit("page "), F.col("page").cast("string")), F.lit("no page")), F.lit(", "), area, F.lit(", "), F.coalesce("source_url", F.lit("no source"))),
+        F.concat(F.lit("    read as "), F.when(F.size("engine_values") > 0, readings).otherwise("nothing by any engine"), F.when(differ, F.lit(" -- engines differ")).otherwise("")),
+        F.array_join(F.transform("checks", lambda c: F.concat(F.lit("    - "), told(c))), "\n"),
+        F.when(F.coalesce("note", F.lit("")) != "", F.concat(F.lit("    note: "), F.col("note"))),
+    ]
+    return items.withColumn("card", F.concat_ws("\n", *[F.when(line != "", line) for line in lines]))

@@ -18,7 +18,7 @@ def file_stream(spark: SparkSession, path: str, glob: str = "*.csv", files_per_t
 
 
 def ingest(stream: DataFrame, describe: Callable[[DataFrame], DataFrame], manifest_path: str, store_dir: str, checkpoint: str, handle: Callable[[DataFrame, int], None], fetched_at: str) -> StreamingQuery:
-    """Register each batch and hand its new documents to ``handle``.
+    """Register each batch, keep its new documents' bytes and hand them to ``handle``.
 
     ``describe`` adds (bank_id, period, template, url, source_kind) to
     (path, content). A batch that is replayed after a failure finds its
@@ -31,10 +31,13 @@ def ingest(stream: DataFrame, describe: Callable[[DataFrame], DataFrame], manife
         spark = df.sparkSession
         incoming = describe(df.select("path", "content"))
         rows = registry.register(registry.scan(spark, manifest_path), incoming.drop("path"), store_dir, fetched_at).persist()
-        fresh = incoming.withColumn("sha256", F.sha2("content", 256)).join(rows.filter("status = 'ok'").select("sha256"), "sha256", "left_semi").dropDuplicates(["sha256"])
-        handle(fresh, batch_id)
-        registry.append(rows, manifest_path)
-        rows.unpersist()
+        try:
+            fresh = registry.fresh(incoming, rows)
+            registry.store_content(fresh)
+            handle(fresh, batch_id)
+            registry.append(rows, manifest_path)
+        finally:
+            rows.unpersist()
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -25,7 +25,7 @@ def test_grid_to_values(spark):
     assert {r["code"] for r in unmatched.collect()} == {"KM1.13", "KM1.14", "KM1.15", "KM1.16", "KM1.17", "KM1.18", "KM1.19", "KM1.20"}
     assert without.isEmpty()
     row = vals.filter("field_code = 'KM1.1'").first()
-    assert row["mapping"]["matched_alias"] == "Common Equity Tier 1 (CET1) capital" and row["unit"] == "GBP_M" and row["raw_text"] == "47,200"
+    assert row["mapping"]["matched_alias"] == "Common Equity Tier 1 (CET1) capital" and row["unit"] == "GBP_M" and row["raw_text"] == "36,800"
 
 
 def test_ov1_and_sweep_result(spark):
@@ -38,15 +38,15 @@ def test_ov1_and_sweep_result(spark):
 def test_best_table_wins_and_ties_go_first(spark):
     decoy = grid(spark, KM1_GRID[:3], table=0)
     vals, _, _ = mapped(spark, decoy.unionByName(grid(spark, KM1_GRID, table=1)).unionByName(grid(spark, [[r[0], "1"] for r in KM1_GRID], table=2)))
-    assert figures(vals)["KM1.4"] == 320000
+    assert figures(vals)["KM1.4"] == 243500
     _, _, without = mapped(spark, grid(spark, [["Total capital", "5"], ["something", "6"]]))
     assert without.first()["error"] == "no table matches the template"
 
 
 def test_first_number_right_of_label_topmost_label_first_alias(spark):
-    rows = [["Tier 1 capital", "n/a", "–", "52,000"], ["Tier 1 capital", "9", "9", "9"], ["Total own funds", "1"], ["Total capital", "2"], ["CET1 capital", "abc"]]
+    rows = [["Tier 1 capital", "n/a", "–", "41,900"], ["Tier 1 capital", "9", "9", "9"], ["Total own funds", "1"], ["Total capital", "2"], ["CET1 capital", "abc"]]
     vals, unmatched, _ = mapped(spark, grid(spark, rows))
-    assert figures(vals) == {"KM1.2": D(52000), "KM1.3": D(2)}
+    assert figures(vals) == {"KM1.2": D(41900), "KM1.3": D(2)}
     assert "KM1.1" in {r["code"] for r in unmatched.collect()}
 
 
@@ -59,21 +59,21 @@ def test_tier_label_quirk_and_strict_mode(spark):
 
 def test_disclosure_scale(spark):
     rows = [[a, b.replace(",", "")[:3] + ".0" if "," in b else b] for a, b, *_ in KM1_GRID[1:]]
-    assert figures(mapped(spark, grid(spark, rows), scale="billions", currency="USD")[0])["KM1.4"] == 320000
+    assert figures(mapped(spark, grid(spark, rows), scale="billions", currency="USD")[0])["KM1.4"] == 243000
 
 
 def test_merge_and_coverage(spark):
     first, _, _ = mapped(spark, grid(spark, KM1_GRID))
     second, _, _ = mapped(spark, grid(spark, KM1_GRID[1:7] + [["Total HQLA", "5"]], engine="CAMELOT"))
     merged = mapping.merge_engines(first, second)
-    assert {r["field_code"]: dict(r["engine_values"]) for r in merged.collect()}["KM1.4"] == {"DOCLING": D(320000), "CAMELOT": D(320000)}
+    assert {r["field_code"]: dict(r["engine_values"]) for r in merged.collect()}["KM1.4"] == {"DOCLING": D(243500), "CAMELOT": D(243500)}
     assert {(r["field_code"], r["only_in"]) for r in mapping.coverage(first, second).collect()} == {("KM1.7", "primary"), ("KM1.15", "secondary")}
     got = results(spark, merged)
     assert got["KM1.5"]["confidence"] == 1 and got["KM1.7"]["confidence"] == D("0.97")
 
 
 def test_fallback_decisions(spark):
-    cells = grid(spark, KM1_GRID[:7] + [["Own funds over exposure", "18.8", "18.4"], ["Blank row", "n/a"]])
+    cells = grid(spark, KM1_GRID[:7] + [["Own funds over exposure", "20.1", "19.9"], ["Blank row", "n/a"]])
     fields, d = config.template_fields(spark, "KM1"), docs(spark)
     _, unmatched, _ = mapping.map_fields(cells, fields, d)
     prompt = mapping.fallback_prompts(cells, unmatched, fields).first()
@@ -84,7 +84,7 @@ def test_fallback_decisions(spark):
     decisions = spark.createDataFrame([(*a, "m", "sha", "1") for a in answers], "doc_id string, engine string, table_idx int, code string, label string, confidence double, model string, prompt_sha string, prompt_version string")
     more, audit = mapping.map_unmatched(cells, unmatched, fields, d, decisions)
     row = more.first()
-    assert more.count() == 1 and row["field_code"] == "KM1.7" and row["value"] == D("18.8") and row["mapping"]["method"] == "LLM" and row["mapping"]["confidence"] == 0.8
+    assert more.count() == 1 and row["field_code"] == "KM1.7" and row["value"] == D("20.1") and row["mapping"]["method"] == "LLM" and row["mapping"]["confidence"] == 0.8
     assert {r["code"]: r["reason"] for r in audit.collect()} == {"KM1.7": "mapped", "KM1.1": "out_of_scope", "KM1.13": "no_row", "KM1.14": "unknown_row", "KM1.15": "no_number", "KM1.16": "bad_confidence", "KM1.17": "bad_confidence", "KM1.18": "unknown_row"}
 
 
