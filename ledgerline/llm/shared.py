@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import filesystem, write_atomically  # noqa: F401  shared with the operators
+
 #: A lookup side with at most this many rows is broadcast; a larger one is joined by exchange.
 LOOKUP_ROWS = 50_000
 
@@ -102,49 +103,3 @@ def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def filesystem(uri: str):
-    """A pyarrow file system and path for a URI of the shared folder (local
-    paths, hdfs://, s3://, gs:// as far as pyarrow is built with them)."""
-    from pyarrow import fs
-
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
-    return fs.FileSystem.from_uri(uri)
-
-
-def write_atomically(uri: str, chunks: Iterator[bytes]) -> int:
-    """Write a file under a private name and rename it, so that a retried or
-    speculative task leaves either nothing or a whole file. Returns its bytes.
-
-    A name that exists already holds what another attempt of the same task
-    wrote from the same rows: it is replaced where the file system replaces on
-    rename, and left where it refuses. The private file is removed whatever
-    happens, unless the executor is lost; such remains go with the scratch folder.
-    """
-    store, path = filesystem(uri)
-    store.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    tmp, n = f"{path}.{uuid.uuid4().hex}.part", 0
-    try:
-        with store.open_output_stream(tmp) as out:
-            for chunk in chunks:
-                out.write(chunk)
-                n += len(chunk)
-        try:
-            store.move(tmp, path)
-        except OSError:
-            if not _is_file(store, path):
-                raise
-    finally:
-        if _is_file(store, tmp):
-            store.delete_file(tmp)
-    return n
-
-
-def _is_file(store, path: str) -> bool:
-    from pyarrow import fs
-
-    return store.get_file_info(path).type == fs.FileType.File
