@@ -3,10 +3,12 @@
 Candidates are long runs of key-like characters, found in whole texts: with a
 digit, or where their word or the words before ask for a key. A random forest then removes false positives, from a candidate's
 length, its character transitions, how much of it dictionary words cover, its
-path and its neighbouring words. The forest is trained from labelled
-findings; without a table of such, from generated ones (``TRAIN_ROWS``), which
-hold real-looking keys in key-like places and the usual false alarms: commit
-and checksum digests, identifiers, placeholders, repeats and versions.
+path and its neighbouring words. The dictionary is the words that names are
+made of and the most frequent words of the scanned texts, counted over all of
+them. The forest is trained from labelled findings; without a table of such,
+from generated ones (``TRAIN_ROWS``), which hold real-looking keys in key-like
+places and the usual false alarms: commit and checksum digests, identifiers,
+placeholders, repeats and versions.
 """
 
 from __future__ import annotations
@@ -29,7 +31,9 @@ _RUN = r"(?<![A-Za-z0-9+/_=\-])[A-Za-z0-9+/_=\-]{16,}+"
 #: A run with a digit in it.
 CANDIDATE = r"(?<![A-Za-z0-9+/_=\-])(?=[A-Za-z+/_=\-]*+[0-9])[A-Za-z0-9+/_=\-]{16,}+"
 
-#: Words that keys do not consist of. Fixed values.
+#: Most frequent words of the texts that join the dictionary; a bound on a feature's size, not on what is scanned.
+COUNTED_WORDS = 1000
+#: Words that names in code are made of. Fixed values.
 DICTIONARY = ["access", "account", "admin", "aggregate", "alpha", "application", "array", "backend", "beta", "build", "cache", "change", "class", "client", "config", "connection", "container", "content", "controller", "default", "demo", "document", "dummy", "example", "factory", "field", "file", "function", "handler", "here", "image", "index", "insert", "instance", "internal", "key", "manager", "message", "method", "module", "name", "number", "object", "option", "page", "password", "placeholder", "process", "project", "release", "replace", "request", "response", "sample", "secret", "server", "service", "session", "string", "system", "table", "template", "test", "token", "update", "user", "value", "version", "window", "your"]
 _ASKS = r"(?i)(token|secret|passw|passphrase|api.?key|apikey|access.?key|private.?key|auth|bearer|credential)"
 _DENIES = r"(?i)(?<![a-z])(commit|sha-?1|sha-?256|md5|checksum|digest|hash|uuid|guid|revision|etag|example|sample|placeholder|dummy|version|class|import)(?![a-z])"
@@ -68,8 +72,17 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return some.select("doc_id", "path", F.posexplode(F.flatten(runs)).alias("nth", "c")).select("doc_id", "nth", "c.value", "c.before", "c.after", "path")
 
 
-def features(found: DataFrame) -> DataFrame:
-    """Adds the forest's features to (value, before, after, path)."""
+def dictionary(docs: DataFrame, text_col: str = "text", words: int = COUNTED_WORDS) -> list[str]:
+    """``DICTIONARY`` and the most frequent words of four to twelve letters of
+    all texts, counted whole; of equally frequent ones the first by alphabet."""
+    plain = F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"(?<![a-z0-9+/_=\-])[a-z]{4,12}(?![a-z0-9+/_=\-])"), F.lit(0)))
+    counted = docs.select(plain.alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(words)
+    return sorted({*DICTIONARY, *(r["word"] for r in counted.collect())})
+
+
+def features(found: DataFrame, words: list[str] = DICTIONARY) -> DataFrame:
+    """Adds the forest's features to (value, before, after, path). ``words``:
+    the dictionary; longer words are looked for first."""
     v, n = F.col("value"), F.length("value").cast("double")
     share = lambda pattern: F.regexp_count(v, F.lit(pattern)) / n
     # The word after counts if it is a plain word: addresses and links say little about what stands before them.
@@ -77,7 +90,7 @@ def features(found: DataFrame) -> DataFrame:
     flag = lambda c, pattern: F.coalesce(c.rlike(pattern), F.lit(False)).cast("double")
     # Between classes of characters: letter to digit, lower to upper and so on.
     turns = r"(?<=[a-z])(?=[A-Z0-9+/_=\-])|(?<=[A-Z])(?=[0-9+/_=\-])|(?<=[0-9])(?=[A-Za-z+/_=\-])|(?<=[+/_=\-])(?=[A-Za-z0-9])"
-    rest = F.length(F.regexp_replace(F.lower(v), "|".join(sorted(DICTIONARY, key=len, reverse=True)), ""))
+    rest = F.length(F.regexp_replace(F.lower(v), "|".join(sorted(words, key=lambda w: (-len(w), w))), ""))
     return found.withColumns({
         "f_length": n,
         "f_turns": share(turns),
@@ -131,22 +144,32 @@ def generated_findings(spark: SparkSession, rows: int = TRAIN_ROWS) -> DataFrame
     return spark.range(0, rows, 1, 1).select(chosen.alias("r")).select("r.*").filter(F.length("value") >= 16)
 
 
-def train(findings: DataFrame, rows: int = TRAIN_ROWS, seed: int = SEED) -> RandomForestClassificationModel:
+def train(findings: DataFrame, rows: int = TRAIN_ROWS, seed: int = SEED, words: list[str] = DICTIONARY) -> RandomForestClassificationModel:
     """A forest from labelled findings (value, before, after, path, label 0/1);
-    of more than ``rows`` those with the smallest hashes are taken."""
+    of more than ``rows`` those with the smallest hashes are taken. ``words``
+    must be the dictionary that ``scan`` is given."""
     bounded = findings.filter("label is not null and value is not null").orderBy(F.xxhash64("value", "before", "path"), "value", "label").limit(rows).coalesce(1)
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="f").transform(features(bounded)).select("f", "label")
+    vectors = VectorAssembler(inputCols=FEATURES, outputCol="f").transform(features(bounded, words)).select("f", "label")
     return RandomForestClassifier(featuresCol="f", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=seed, featureSubsetStrategy="onethird").fit(vectors)
 
 
-def scan(docs: DataFrame, model: RandomForestClassificationModel | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, model: RandomForestClassificationModel | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", threshold: float = THRESHOLD, findings: DataFrame | None = None, words: list[str] | None = None) -> DataFrame:
     """Every candidate with the forest's ``score`` and ``is_secret``: (doc_id,
-    nth, value, before, after, path, score, is_secret). Null, empty and blank
-    texts and empty tables have no candidates; a null path has no trial words;
-    repeated rows are each answered."""
-    model = model or train(generated_findings(docs.sparkSession))
-    seen = features(candidates(docs, id_col, text_col, path_col))
+    nth, value, before, after, path, score, is_secret).
+
+    ``model`` and its ``words``: a trained forest; else one is trained here,
+    from ``findings`` or generated ones, with a dictionary counted from the
+    texts. Null, empty and blank texts and empty tables have no candidates;
+    texts are scanned whole, however long; a null path, or no path column
+    (``None``), has no trial words; repeated rows are each answered; columns of
+    any other name are left alone.
+    """
+    if path_col is None:
+        docs, path_col = docs.select(id_col, text_col, F.lit(None).cast("string").alias("__path")), "__path"
+    if model is None:
+        words = dictionary(docs, text_col) if words is None else words
+        model = train(generated_findings(docs.sparkSession) if findings is None else findings, words=words)
+    seen = features(candidates(docs, id_col, text_col, path_col), DICTIONARY if words is None else words)
     scored = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="__f", handleInvalid="keep").transform(seen).withColumnRenamed("__f", "f"))
     score = F.round(vector_to_array("probability")[1], 6)
     return scored.select("doc_id", "nth", "value", "before", "after", "path", score.alias("score"), (score >= threshold).alias("is_secret"))
-
