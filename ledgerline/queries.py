@@ -12,7 +12,8 @@ from .functions import labels, numbers, periods
 from .operators import analytics, golden, mapping, reconcile
 from .plans import pipeline
 from .plans import schema as S
-from .sources import config, registry, review, store
+from .sources import cells as shapes
+from .sources import config, files, registry, review, store, structured
 
 Query = Callable[[SparkSession, str], DataFrame]
 CODES = ["KM1.1", "KM1.2", "KM1.4", "KM1.5", "KM1.6"]
@@ -223,8 +224,6 @@ def scale_lift(spark, sf):
 
 
 def structured_ingest(spark, sf):
-    from .sources import structured
-
     o = _t(spark, sf, "orders")
     point = F.concat(F.lit("eba_dpm:km1.r00"), (F.col("o_orderkey") % 9 + 1).cast("string"), F.lit("0"))
     value = F.when(F.col("o_orderkey") % 10 == 0, "n/a").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
@@ -331,8 +330,256 @@ def event_windows(spark, sf):
     return rows.select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
 
 
+# ---- periods in varied phrases ----------------------------------------------
+
+def _phrases(spark, sf):
+    """A text per order, of eight kinds of phrase; years are moved into the resolver's range."""
+    y, q = (F.year("o_orderdate") + 10).cast("string"), F.quarter("o_orderdate").cast("string")
+    before = (F.year("o_orderdate") + 9).cast("string")
+    kinds = [
+        F.concat(F.lit("Results for Q"), q, F.lit(" "), y, F.lit(".")),
+        F.concat(y, F.lit(" Q"), q, F.lit(" report")),
+        F.concat(F.lit("the third quarter of "), y, F.lit(", Q4 "), y),
+        F.concat(F.lit("FY"), y, F.lit(" and Q"), q, F.lit(" "), before),
+        F.concat(F.lit("Key metrics as at 31st Dec. "), y),
+        F.concat(F.lit("dated 30/06/"), y, F.lit(" or 15/06/"), y),
+        F.concat(y, F.lit("-09-30 at 31 March "), y),
+        F.concat(F.lit("no period on page "), y),
+    ]
+    text = F.element_at(F.array(*kinds), (F.col("o_orderkey") % 8 + 1).cast("int"))
+    return _t(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"), text.alias("text"))
+
+
+def period_phrases(spark, sf):
+    found = periods.period_candidates(_phrases(spark, sf))
+    return _double(found.groupBy("period", "confidence").agg(F.count(F.lit(1)).alias("n")))
+
+
+def resolve_latest(spark, sf):
+    return _double(periods.resolve_latest(periods.period_candidates(_phrases(spark, sf))).select("doc_id", "period", "confidence"))
+
+
+def resolve_quarter_end(spark, sf):
+    return periods.resolve_latest(periods.period_candidates(_phrases(spark, sf)), "quarter_end").select("doc_id", "period")
+
+
+def period_ambiguous(spark, sf):
+    return periods.ambiguous(periods.period_candidates(_phrases(spark, sf))).groupBy("ambiguous").agg(F.count(F.lit(1)).alias("n"))
+
+
+_PHRASES = """p AS (SELECT o_orderkey AS doc_id, o_orderkey % 8 AS k, year(o_orderdate) + 10 AS y, quarter(o_orderdate) AS q FROM orders),
+found AS (
+  SELECT doc_id, y, q, 0.70 AS confidence FROM p WHERE k IN (0, 1) UNION ALL SELECT doc_id, y, 3, 0.70 FROM p WHERE k = 2 UNION ALL SELECT doc_id, y, 4, 0.70 FROM p WHERE k = 2
+  UNION ALL SELECT doc_id, y, NULL, 0.70 FROM p WHERE k = 3 UNION ALL SELECT doc_id, y - 1, q, 0.70 FROM p WHERE k = 3 UNION ALL SELECT doc_id, y, 4, 0.95 FROM p WHERE k = 4
+  UNION ALL SELECT doc_id, y, 2, 0.55 FROM p WHERE k = 5 UNION ALL SELECT doc_id, y, 3, 0.55 FROM p WHERE k = 6 UNION ALL SELECT doc_id, y, 1, 0.70 FROM p WHERE k = 6
+),
+c AS (SELECT p.doc_id, CASE WHEN f.y IS NOT NULL THEN f.y || coalesce('Q' || f.q, 'FY') END AS period, f.y, f.q, CAST(f.confidence AS DOUBLE) AS confidence FROM p LEFT JOIN found f ON f.doc_id = p.doc_id)"""
+
+
+# ---- mapping, in its finer rules --------------------------------------------
+
+def first_wins(spark, sf):
+    """Each figure twice, by rule and as picked by a mapper: the rule's stays."""
+    base = _values(spark, sf)
+    rule = lambda name: F.struct(F.lit(name).alias("method"), *[F.lit(None).cast("string").alias(c) for c in ("model", "prompt_sha", "prompt_version", "matched_alias")], F.lit(1.0).alias("confidence"))
+    twice = base.withColumn("mapping", rule("LLM")).withColumn("value", (F.col("value") + 1).cast(S.COMPUTE)).unionByName(base.withColumn("mapping", rule("RULE")))
+    kept, dropped = mapping.first_wins(twice)
+    both = kept.select(F.lit("kept").alias("side"), "field_code", "value").unionByName(dropped.select(F.lit("dropped").alias("side"), "field_code", "value"))
+    return both.groupBy("side", "field_code").agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("double").alias("total"))
+
+
+def _fallback(spark, sf):
+    cells, docs = _grids(spark, sf)
+    fields = config.template_fields(spark, "KM1")
+    return cells, docs, fields, mapping.map_fields(cells, fields, docs)[1]
+
+
+def unused_rows(spark, sf):
+    cells, _, fields, unmatched = _fallback(spark, sf)
+    return mapping.unused_rows(cells, unmatched, fields).select("doc_id", "table_idx", "row_idx", "label_col")
+
+
+def fallback_prompts(spark, sf):
+    cells, _, fields, unmatched = _fallback(spark, sf)
+    made = mapping.fallback_prompts(cells, unmatched, fields)
+    return made.select("doc_id", F.size(F.split("prompt", "\n")).alias("n_lines"), (F.col("prompt_sha") == F.sha2("prompt", 256)).alias("sealed"))
+
+
+def map_unmatched(spark, sf):
+    """Answers of a mapper: to a row without a number, to a field not asked for, to none, and too sure."""
+    cells, docs, fields, unmatched = _fallback(spark, sf)
+    answer = lambda code, label, sure: F.struct(F.lit(code).alias("code"), F.lit(label).cast("string").alias("label"), F.lit(sure).alias("confidence"))
+    answers = F.explode(F.array(answer("KM1.7", _ALIAS["KM1.6"], 0.9), answer("KM1.1", _ALIAS["KM1.6"], 0.9), answer("KM1.13", None, 0.5), answer("KM1.14", _ALIAS["KM1.6"], 1.5)))
+    said = docs.select("doc_id", F.lit("DOCLING").alias("engine"), F.lit(1).alias("table_idx"), answers.alias("a")).select("doc_id", "engine", "table_idx", "a.*")
+    decisions = said.withColumns({c: F.lit("x") for c in ("model", "prompt_sha", "prompt_version")})
+    return mapping.map_unmatched(cells, unmatched, fields, docs, decisions)[1].groupBy("code", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def last_opinion_wins(spark, sf):
+    """Two opinions of the second engine on each total; the later counts."""
+    first = _values(spark, sf).filter("field_code = 'KM1.4'").withColumn("engine_values", F.create_map("engine", "value"))
+    second = first.withColumn("engine", F.lit("CAMELOT")).withColumn("step", F.explode(F.array(F.lit(2), F.lit(1))))
+    second = second.withColumn("value", (F.col("value") + F.col("step")).cast(S.COMPUTE))
+    merged = mapping.merge_engines(first, second, "step")
+    return _double(merged.select("bank", "period", "value", F.col("engine_values")["CAMELOT"].alias("second")))
+
+
+def extract_errors(spark, sf):
+    """Documents without cells, and one of whose rows holds a number."""
+    cells, docs = _grids(spark, sf)
+    absent = docs.withColumn("doc_id", F.concat(F.lit("absent/"), "doc_id"))
+    bare = docs.withColumn("doc_id", F.concat(F.lit("bare/"), "doc_id"))
+    blank = cells.filter("table_idx = 1").withColumn("doc_id", F.concat(F.lit("bare/"), "doc_id")).withColumn("text", F.when(F.col("col_idx") == 0, F.col("text")).otherwise("n/a"))
+    _, errors = pipeline.extract_template(spark, cells.unionByName(blank), docs.unionByName(absent).unionByName(bare))
+    return errors.groupBy("error").agg(F.count(F.lit(1)).alias("n"))
+
+
+def known_documents(spark, sf):
+    bank = F.element_at(F.array(*[F.lit(b) for b in ("barclays", "hsbc", "nobody", "unknown_bank")]), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    period = F.concat(F.year("o_orderdate").cast("string"), F.lit("q"), F.quarter("o_orderdate").cast("string"))
+    names = _t(spark, sf, "orders").select(F.concat(F.lit("in/"), F.col("o_orderkey").cast("string"), F.lit("/"), bank, F.lit("_"), period, F.when(F.col("o_orderkey") % 3 == 0, "_OV1.pdf").otherwise("_km1.csv")).alias("path"))
+    good, bad = pipeline.known_documents(names, config.banks(spark), "KM1", "1996Q2")
+    none = F.lit(None).cast("string")
+    return good.select("doc_id", "bank", "period", "reporting_currency", none.alias("error")).unionByName(bad.select("doc_id", "bank", "period", none.alias("reporting_currency"), "error"))
+
+
+# ---- numbers in other units, and basis errors -------------------------------
+
+def normalise_units(spark, sf):
+    """Percentages, ratios and counts, with and without their sign."""
+    plain = F.regexp_replace(F.format_number(F.col("l_discount") * 100, 2), ",", "")
+    k = F.col("l_linenumber") % 6
+    raw = F.when(k == 0, F.concat(plain, F.lit("%"))).when(k == 1, F.concat(plain, F.lit(" %¹"))).when(k == 2, F.format_number("l_discount", 4)).when(k == 3, F.concat(plain, F.lit("%"))).when(k == 4, F.format_number("l_extendedprice", 2)).otherwise(F.lit("1,001"))
+    unit = F.element_at(F.array(*[F.lit(u) for u in ("PERCENT", "RATIO", "RATIO", "GBP_M", "COUNT", "PERCENT")]), (k + 1).cast("int"))
+    cells = _lines(spark, sf).withColumns({"raw": raw, "unit": unit})
+    parsed = numbers.normalise(cells, "p", F.col("raw"), F.lit("en_GB"), F.col("unit"), F.lit("millions"))
+    return parsed.select("l_orderkey", "l_linenumber", "unit", F.round(F.col("p.value").cast("double"), 6).alias("value"), F.col("p.error").alias("error"))
+
+
+def basis_errors(spark, sf):
+    """Own funds of odd years on another basis: an error where the ratio's operands are there, quarantined."""
+    odd = (F.col("field_code") == "KM1.1") & (F.left("period", F.lit(4)).cast("int") % 2 == 1)
+    vals = _values(spark, sf).withColumn("ecl_basis", F.when(odd, "FULLY_LOADED").otherwise(F.col("ecl_basis")))
+    routed = pipeline.reconcile_values(spark, vals, "quarantine")
+    first = F.filter("checks", lambda c: F.array_contains(c["field_codes"], "KM1.1"))[0]["outcome"]
+    return _double(routed.filter("field_code = 'KM1.1'").select("bank", "period", first.alias("outcome"), "status", "confidence"))
+
+
+# ---- tables on disk, written and read back ----------------------------------
+
+def store_round_trip(spark, sf):
+    path = files.scratch_folder(spark, "store")
+    banks = _wide(spark, sf).select("bank").distinct().withColumn("jurisdiction", F.lit("US"))
+    store.append(store.flatten(_routed(spark, sf), banks, "run", "t"), path, partition=True)
+    return store.scan(spark, path).groupBy("template", "field", "status").agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("double").alias("total"))
+
+
+def queue_round_trip(spark, sf):
+    path = files.scratch_folder(spark, "queue")
+    review.enqueue(_routed(spark, sf), path, "r")
+    items = review.load(spark, path)
+    return items.select("run_id", "bank", "period", "field_code", F.col("value").cast("double").alias("value"), F.col("confidence").cast("double").alias("confidence"), "status", "note")
+
+
+def review_cards(spark, sf):
+    items = _routed(spark, sf).filter("status = 'FLAGGED'")
+    queue = review.queue_items(items, "r").select(F.from_json("value", review.ITEM).alias("i")).select("i.*")
+    return review.render(queue).select(F.substring_index("card", "\n", 1).alias("head"), F.size(F.split("card", "\n    - ")).alias("n_parts"))
+
+
+def write_back(spark, sf):
+    routed = _routed(spark, sf)
+    banks = _wide(spark, sf).select("bank").distinct().withColumn("jurisdiction", F.lit("US"))
+    dataset = store.flatten(routed, banks, "r", "t").withColumns({"value": F.col("value").cast(S.STORED)})
+    settled = routed.filter("status = 'FLAGGED' and field_code = 'KM1.4'").select(F.lit("r").alias("run_id"), "bank", "period", "field_code", F.lit("42.5").alias("value"), F.lit("HUMAN_CORRECTED").alias("status"))
+    return _double(review.write_back(dataset, settled).select("bank", "period", "field", "value", "status"))
+
+
+def _incoming(spark, sf):
+    docs = _t(spark, sf, "documents")
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("content"), F.col("source").alias("bank_id"), F.lit("2025Q4").alias("period"), F.lit(None).cast("string").alias("template"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("url"), F.lit("PDF").alias("source_kind"))
+
+
+def registry_against_ledger(spark, sf):
+    """Documents against a ledger on disk that holds those of even ids."""
+    path = files.scratch_folder(spark, "ledger")
+    incoming = _incoming(spark, sf)
+    none = spark.createDataFrame([], ", ".join(f"{c} string" for c in registry.MANIFEST))
+    registry.append(registry.register(none, incoming.filter("doc_id % 2 = 0").drop("doc_id"), "/store", "t"), path)
+    return registry.register(registry.scan(spark, path), incoming.drop("doc_id"), "/store", "u").select("bank_id", "url", "sha256", "status")
+
+
+def raw_store(spark, sf):
+    """Bytes that the registry keeps, read back under their digests."""
+    folder = files.scratch_folder(spark, "raw")
+    registry.ingest(_incoming(spark, sf).drop("doc_id"), files.scratch_folder(spark, "ledger"), folder, "t")
+    kept = spark.read.format("binaryFile").load(folder).select("path", "content", "length")
+    named = F.regexp_extract("path", r"([0-9a-f]{64})\.pdf$", 1) == F.sha2("content", 256)
+    return kept.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"), F.count_if(named).alias("n_named"))
+
+
+def structured_files(spark, sf):
+    """Filings written as CSV files and read by their header names."""
+    path = files.scratch_folder(spark, "filings")
+    o = _t(spark, sf, "orders")
+    point = F.concat(F.lit("eba_dpm:km1.r00"), (F.col("o_orderkey") % 9 + 1).cast("string"), F.lit("0"))
+    o.select(F.col("o_totalprice").cast("decimal(18,2)").alias("value"), F.col("o_orderpriority").alias("note, quoted"), point.alias("datapoint")).write.option("header", True).csv(path)
+    found = structured.read_filings(spark, path)
+    return found.groupBy("datapoint").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"))
+
+
+# ---- cells of extractors ----------------------------------------------------
+
+def _boxes(spark, sf):
+    x, y = F.col("l_linenumber").cast("double"), (F.col("l_suppkey") % 50).cast("double")
+    return _t(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("doc_id"), F.lit("CAMELOT").alias("engine"), F.lit(0).alias("table_idx"), F.col("l_linenumber").cast("int").alias("row_idx"), F.lit(0).alias("col_idx"), F.when(F.col("l_linenumber") > 1, F.col("l_returnflag")).alias("text"), (F.col("l_orderkey") % 3 + 1).cast("int").alias("page"), x.alias("x1"), y.alias("y1"), (x + 1).alias("x2"), (y + 2).alias("y2"), F.lit(100.0).alias("page_height"))
+
+
+def cells_bottom_up(spark, sf):
+    made = shapes.from_bottom_up(_boxes(spark, sf), [1, 2])
+    return made.select("doc_id", "row_idx", "text", F.col("bbox.page").alias("page"), F.col("bbox.x0").alias("x0"), F.col("bbox.y0").alias("y0"), F.col("bbox.x1").alias("x1"), F.col("bbox.y1").alias("y1"))
+
+
+def cells_ragged(spark, sf):
+    """Every third cell is a gap without a box."""
+    b = _boxes(spark, sf)
+    gaps = [F.when(F.col("row_idx") % 3 != 0, F.col(c)).alias(n) for c, n in (("x1", "x0"), ("y1", "y0"), ("x2", "x1"), ("y2", "y1"))]
+    made = shapes.flatten(shapes.from_ragged(b.select("doc_id", "engine", "table_idx", "row_idx", "col_idx", "text", "page", *gaps)))
+    return made.groupBy("row_idx", "text").agg(F.count(F.lit(1)).alias("n"))
+
+
+def secondary_engine(spark, sf):
+    flavour = F.element_at(F.array(*[F.lit(f) for f in shapes.PRIORITY]), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    tables = _t(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("doc_id"), flavour.alias("flavour"), (F.col("o_orderkey") % 2 + 1).cast("int").alias("page"), F.col("o_orderkey").alias("table_idx"))
+    return shapes.pick_secondary(tables)
+
+
+# ---- analytics ---------------------------------------------------------------
+
+def latest_run(spark, sf):
+    """Two runs of every filing; the later one's figures stay."""
+    rows = _filings(spark, sf).withColumn("template", F.lit("KM1"))
+    later = rows.withColumns({"extracted_at": F.lit("u"), "value": (F.col("value") + 1).cast(S.STORED)})
+    return _double(analytics.latest_run_only(rows.unionByName(later)).select("bank", "period", "value", "extracted_at"))
+
+
+def engine_scores(spark, sf):
+    truth, read = _golden(spark, sf)
+    rows = golden.compare_engines(read, truth)
+    return spark.createDataFrame([(r["engine"], r["matches"], r["n"], r["n_docs"], r["rate"], r["too_few"]) for r in rows], "engine string, matches bigint, n bigint, n_docs bigint, rate double, too_few boolean")
+
+
+def sheet_titles(spark, sf):
+    p = _t(spark, sf, "part")
+    return p.select("p_partkey", analytics.safe_title(F.concat(F.lit("a/b["), F.col("p_partkey").cast("string"), F.lit("]:*?"), F.col("p_name"))).alias("title"))
+
+
 def queries() -> dict[str, Query]:
-    named = [reconcile_route, ratio_identity, cross_foot, two_engine, magnitude_sanity, confidence_product, peer_compare, trend_delta, golden_compare, golden_accuracy, exact_match_score, bootstrap_interval, registry_dedupe, normalise_en, normalise_locales, normalise_reject_reasons, scale_lift, structured_ingest, classify_table, map_fields, unmatched_fields, merge_engines, engine_coverage, period_parse, period_candidates, label_normalise, review_latest, sweep_summary, status_assertion, store_rows, newest_version, event_windows]
+    named = [
+        reconcile_route, ratio_identity, cross_foot, two_engine, magnitude_sanity, confidence_product, peer_compare, trend_delta, golden_compare, golden_accuracy, exact_match_score, bootstrap_interval, registry_dedupe, normalise_en, normalise_locales, normalise_reject_reasons, scale_lift, structured_ingest, classify_table, map_fields, unmatched_fields, merge_engines, engine_coverage, period_parse, period_candidates, label_normalise, review_latest, sweep_summary, status_assertion, store_rows, newest_version, event_windows,
+        period_phrases, resolve_latest, resolve_quarter_end, period_ambiguous, first_wins, unused_rows, fallback_prompts, map_unmatched, last_opinion_wins, extract_errors, known_documents, normalise_units, basis_errors,
+        store_round_trip, queue_round_trip, review_cards, write_back, registry_against_ledger, raw_store, structured_files, cells_bottom_up, cells_ragged, secondary_engine, latest_run, engine_scores, sheet_titles,
+    ]
     return {f.__name__: f for f in named}
 
 
@@ -371,4 +618,44 @@ def oracle_sql() -> dict[str, str]:
         "store_rows": f"WITH {_CHECKS} SELECT r.bank, r.period, 'US' AS jurisdiction, r.field_code AS field, r.value, r.confidence, r.status, concat_ws(',', CASE WHEN list_contains(c.o[1:CASE WHEN c.field_code = 'KM1.4' THEN 2 ELSE 1 END], 'PASS') OR list_contains(c.o[1:CASE WHEN c.field_code = 'KM1.4' THEN 2 ELSE 1 END], 'FAIL') THEN 'RATIO_IDENTITY' END, CASE WHEN c.te <> 'SKIP' THEN 'TWO_ENGINE' END) AS basis FROM routed r JOIN c ON r.bank = c.bank AND r.period = c.period AND r.field_code = c.field_code",
         "newest_version": "SELECT source AS bank_id, '202' || (doc_id % 5) || 'Q1' AS period, lang AS template, lpad(CAST(max(doc_id) AS VARCHAR), 12, '0') AS fetched_at FROM documents GROUP BY source, doc_id % 5, lang",
         "event_windows": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n FROM events GROUP BY ALL",
+        } | _more_sql()
+
+
+def _more_sql() -> dict[str, str]:
+    latest = "SELECT doc_id, period, confidence FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY y * 10 + coalesce(q, 5) DESC) AS n FROM c{}) WHERE n = 1"
+    return {
+        "period_phrases": f"WITH {_PHRASES} SELECT period, confidence, count(*) AS n FROM c GROUP BY ALL",
+        "resolve_latest": f"WITH {_PHRASES} {latest.format('')}",
+        "resolve_quarter_end": f"WITH {_PHRASES} SELECT doc_id, period FROM ({latest.format(' WHERE y IS NULL OR q IS NOT NULL')})",
+        "period_ambiguous": "SELECT o_orderkey % 8 = 2 AS ambiguous, count(*) AS n FROM orders GROUP BY ALL",
+        "first_wins": f"WITH {_CHECKS} SELECT side, field_code, count(*) AS n, CAST(sum(v + CASE side WHEN 'kept' THEN 0 ELSE unit END) AS DOUBLE) / any_value(unit) AS total FROM f, (SELECT unnest(['kept', 'dropped']) AS side) GROUP BY ALL",
+        "unused_rows": f"WITH {_WIDE} SELECT bank || '/' || period AS doc_id, 1 AS table_idx, 4 AS row_idx, 0 AS label_col FROM w WHERE r6 IS NULL",
+        "fallback_prompts": f"WITH {_WIDE} SELECT bank || '/' || period AS doc_id, CASE WHEN r6 IS NULL THEN 15 ELSE 14 END AS n_lines, true AS sealed FROM w",
+        "map_unmatched": f"WITH {_WIDE} SELECT 'KM1.7' AS code, CASE WHEN r6 IS NULL THEN 'no_number' ELSE 'unknown_row' END AS reason, count(*) AS n FROM w GROUP BY ALL UNION ALL SELECT 'KM1.1', 'out_of_scope', count(*) FROM w UNION ALL SELECT 'KM1.13', 'no_row', count(*) FROM w UNION ALL SELECT 'KM1.14', 'bad_confidence', count(*) FROM w",
+        "last_opinion_wins": f"WITH {_WIDE} SELECT bank, period, CAST(c4 AS DOUBLE) / 100 AS value, CAST(c4 + 200 AS DOUBLE) / 100 AS second FROM w",
+        "extract_errors": f"WITH {_WIDE} SELECT 'no table matches the template' AS error, count(*) AS n FROM w UNION ALL SELECT 'no field could be mapped', count(*) FROM w",
+        "known_documents": """WITH n AS (SELECT o_orderkey AS k, ['barclays', 'hsbc', 'nobody', 'unknown_bank'][o_orderkey % 4 + 1] AS bank, year(o_orderdate) || 'q' || quarter(o_orderdate) AS period FROM orders)
+SELECT 'in/' || k || '/' || bank || '_' || period || '_km1.csv' AS doc_id, bank, '1996Q2' AS period, CASE bank WHEN 'barclays' THEN 'GBP' WHEN 'hsbc' THEN 'USD' END AS reporting_currency, CASE WHEN k % 4 > 1 THEN 'unknown bank ' || bank END AS error FROM n WHERE period = '1996q2' AND k % 3 <> 0""",
+        "normalise_units": """WITH l AS (SELECT l_orderkey, l_linenumber, l_linenumber % 6 AS k, CAST(l_discount AS DECIMAL(18,2)) AS d, CAST(l_extendedprice AS DECIMAL(18,2)) AS p FROM lineitem)
+SELECT l_orderkey, l_linenumber, ['PERCENT', 'RATIO', 'RATIO', 'GBP_M', 'COUNT', 'PERCENT'][k + 1] AS unit,
+  CAST(CASE k WHEN 0 THEN d * 100 WHEN 1 THEN d WHEN 2 THEN d WHEN 4 THEN p END AS DOUBLE) AS value, CASE k WHEN 3 THEN 'percent' WHEN 5 THEN 'band' END AS error FROM l""",
+        "basis_errors": f"WITH {_CHECKS} SELECT r.bank, r.period, CASE WHEN k.odd THEN 'ERROR' ELSE k.i5 END AS outcome, CASE WHEN k.odd THEN 'FLAGGED' ELSE r.status END AS status, CASE WHEN k.odd THEN 0.0 ELSE r.confidence END AS confidence FROM routed r JOIN (SELECT *, CAST(left(period, 4) AS INTEGER) % 2 = 1 AS odd FROM k) k ON k.bank = r.bank AND k.period = r.period WHERE r.field_code = 'KM1.1'",
+        "store_round_trip": f"WITH {_CHECKS} SELECT 'KM1' AS template, r.field_code AS field, status, count(*) AS n, CAST(sum(v) AS DOUBLE) / any_value(unit) AS total FROM routed r JOIN f ON f.bank = r.bank AND f.period = r.period AND f.field_code = r.field_code GROUP BY ALL",
+        "queue_round_trip": f"WITH {_CHECKS} SELECT 'r' AS run_id, bank, period, field_code, value, confidence, status, '' AS note FROM routed WHERE status = 'FLAGGED'",
+        "review_cards": f"WITH {_CHECKS} SELECT '[FLAGGED] ' || r.bank || ' / ' || r.period || ' / ' || r.field_code || ' / r' AS head, len(c.o) + CASE WHEN r.field_code = 'KM1.4' THEN 2 ELSE 2 END AS n_parts FROM routed r JOIN c ON c.bank = r.bank AND c.period = r.period AND c.field_code = r.field_code WHERE r.status = 'FLAGGED'",
+        "write_back": f"WITH {_CHECKS} SELECT bank, period, field_code AS field, CASE WHEN field_code = 'KM1.4' AND status = 'FLAGGED' THEN 42.5 ELSE value END AS value, CASE WHEN field_code = 'KM1.4' AND status = 'FLAGGED' THEN 'HUMAN_CORRECTED' ELSE status END AS status FROM routed",
+        "registry_against_ledger": """WITH d AS (SELECT doc_id, source AS bank_id, lpad(CAST(doc_id AS VARCHAR), 12, '0') AS url, sha256(coalesce(text, '')) AS sha256 FROM documents)
+SELECT bank_id, url, sha256, CASE WHEN sha256 IN (SELECT sha256 FROM d WHERE doc_id % 2 = 0) OR row_number() OVER (PARTITION BY sha256 ORDER BY bank_id, url) > 1 THEN 'skipped_dup' ELSE 'fetched' END AS status FROM d""",
+        "raw_store": "SELECT count(*) AS n, CAST(sum(octet_length(encode(t))) AS BIGINT) AS bytes, count(*) AS n_named FROM (SELECT DISTINCT coalesce(text, '') AS t FROM documents)",
+        "structured_files": "SELECT 'eba_dpm:km1.r00' || (o_orderkey % 9 + 1) || '0' AS datapoint, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY ALL",
+        "cells_bottom_up": "SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, CAST(l_linenumber AS INTEGER) AS row_idx, CASE WHEN l_linenumber > 1 THEN l_returnflag ELSE '' END AS text, CAST(l_orderkey % 3 + 1 AS INTEGER) AS page, CAST(l_linenumber AS DOUBLE) AS x0, CAST(98 - l_suppkey % 50 AS DOUBLE) AS y0, CAST(l_linenumber + 1 AS DOUBLE) AS x1, CAST(100 - l_suppkey % 50 AS DOUBLE) AS y1 FROM lineitem WHERE l_orderkey % 3 < 2",
+        "cells_ragged": "SELECT CAST(l_linenumber AS INTEGER) AS row_idx, CASE WHEN l_linenumber > 1 THEN l_returnflag ELSE '' END AS text, count(*) AS n FROM lineitem WHERE l_linenumber % 3 <> 0 GROUP BY ALL",
+        "secondary_engine": """WITH t AS (SELECT CAST(o_custkey AS VARCHAR) AS doc_id, o_orderkey % 3 AS rank, count(*) FILTER (o_orderkey % 2 = 0) AS n FROM orders GROUP BY ALL)
+SELECT doc_id, ['lattice', 'stream', 'pdfplumber'][min(rank) + 1] AS flavour FROM t WHERE n > 0 OR rank = 2 GROUP BY doc_id""",
+        "latest_run": f"WITH {_FILINGS} SELECT bank, period, CAST(cents + 100 AS DOUBLE) / 100 AS value, 'u' AS extracted_at FROM s",
+        "engine_scores": """WITH t AS (SELECT * FROM orders WHERE o_orderkey % 13 <> 0)
+SELECT engine, matches, n, n_docs, CAST(matches AS DOUBLE) / n AS rate, n_docs < 5 AS too_few FROM (
+  SELECT 'DOCLING' AS engine, count(*) FILTER (o_orderkey % 2 = 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 7 <> 0) AS matches, count(*) AS n, count(DISTINCT (o_orderstatus, year(o_orderdate))) AS n_docs FROM t
+  UNION ALL SELECT 'CAMELOT', count(*) FILTER (o_orderkey % 2 = 1 AND o_orderkey % 11 <> 0 AND o_orderkey % 7 <> 0), count(*), count(DISTINCT (o_orderstatus, year(o_orderdate))) FROM t)""",
+        "sheet_titles": "SELECT p_partkey, left(translate('a/b[' || p_partkey || ']:*?' || p_name, '[]:*?/' || chr(92), '_______'), 31) AS title FROM part",
     }

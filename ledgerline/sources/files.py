@@ -50,3 +50,20 @@ def is_file(store, path: str) -> bool:
     from pyarrow import fs
 
     return store.get_file_info(path).type == fs.FileType.File
+
+
+def scratch_folder(spark, name: str) -> str:
+    """A fresh path below ``spark.checkpoint.dir``, deleted when the application
+    ends. Only a purely local session may lack the setting: a machine-local
+    folder would lose data on a cluster."""
+    import tempfile
+
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = "file://" + tempfile.gettempdir()
+    path = f"{root.rstrip('/')}/ledgerline/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    return path
