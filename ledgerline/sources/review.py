@@ -31,11 +31,14 @@ def queue_items(results: DataFrame, run_id: str) -> DataFrame:
 
 def enqueue(results: DataFrame, path: str, run_id: str) -> int:
     """Append a run's flagged figures; without any, no file is written."""
-    items = queue_items(results, run_id)
-    n = items.count()
-    if n:
-        items.write.mode("append").partitionBy("run_id").text(path)
-    return n
+    items = queue_items(results, run_id).persist()  # counted and written
+    try:
+        n = items.count()
+        if n:
+            items.write.mode("append").partitionBy("run_id").text(path)
+        return n
+    finally:
+        items.unpersist()
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:

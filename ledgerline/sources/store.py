@@ -33,8 +33,9 @@ def to_stored(rows: DataFrame, quantise_confidence: bool = False) -> DataFrame:
     raises; a confidence too, unless ``quantise_confidence`` rounds it."""
     if quantise_confidence:
         rows = rows.withColumn("confidence", F.round("confidence", 6))
-    for name in ("value", "confidence"):
-        S.require(rows, inexact(F.col(name)), StoreError, F.concat(F.lit(f"{name} "), F.col(name).cast("string"), F.lit(" has more than 6 decimals: "), F.concat_ws(" ", "bank", "period", "field")))
+    lost = [F.when(inexact(F.col(n)), F.concat(F.lit(f"{n} "), F.col(n).cast("string"))) for n in ("value", "confidence")]
+    what = F.concat_ws(", ", *lost)
+    S.require(rows, what != "", StoreError, F.concat(what, F.lit(" has more than 6 decimals: "), F.concat_ws(" ", "bank", "period", "field")))
     return rows.select(*[F.col(f.name).cast(f.dataType) for f in S.DATASET.fields])
 
 
@@ -52,18 +53,22 @@ def append(rows: DataFrame, path: str, partition: bool = False, quantise_confide
     prune what they do not ask for.
     """
     spark = rows.sparkSession
-    stored = to_stored(rows, quantise_confidence)
-    if exists(spark, path):
-        found = spark.read.parquet(path).schema
-        layout = sorted(S.DATASET.fields, key=lambda f: f.name) if partition else S.DATASET.fields
-        now = sorted(found.fields, key=lambda f: f.name) if partition else found.fields
-        if [(f.name, f.dataType.simpleString()) for f in now] != [(f.name, f.dataType.simpleString()) for f in layout]:
-            raise StoreError(f"{path}: schema on disk is not the store's")
-    n = stored.count()
-    if n:
-        writer = stored.write.mode("append")
-        (writer.partitionBy("template", "period") if partition else writer).parquet(path)
-    return n
+    rows = rows.persist()  # checked, counted and written
+    try:
+        stored = to_stored(rows, quantise_confidence)
+        if exists(spark, path):
+            found = spark.read.parquet(path).schema
+            layout = sorted(S.DATASET.fields, key=lambda f: f.name) if partition else S.DATASET.fields
+            now = sorted(found.fields, key=lambda f: f.name) if partition else found.fields
+            if [(f.name, f.dataType.simpleString()) for f in now] != [(f.name, f.dataType.simpleString()) for f in layout]:
+                raise StoreError(f"{path}: schema on disk is not the store's")
+        n = stored.count()
+        if n:
+            writer = stored.write.mode("append")
+            (writer.partitionBy("template", "period") if partition else writer).parquet(path)
+        return n
+    finally:
+        rows.unpersist()
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
