@@ -43,6 +43,7 @@ def parser() -> argparse.ArgumentParser:
         source.add_argument("--filings", help="folder of structured filings named bank_PERIOD_TEMPLATE.csv")
         c.add_argument("--second-cells", help="the same from a second engine")
         c.add_argument("--decisions", help="Parquet table of a mapper's answers")
+        c.add_argument("--all-tables", action="store_true", help="the template may run over several tables")
         c.add_argument("--store", required=True)
         c.add_argument("--queue", required=True)
         if name == "run":
@@ -103,20 +104,20 @@ def main(argv: list[str] | None = None) -> int:
     filings = structured.read_filings(spark, args.filings, "rows").persist() if args.filings else None
     second = spark.read.parquet(args.second_cells) if args.second_cells else None
     decisions = spark.read.parquet(args.decisions) if args.decisions else None
-    banks, run_id = config.banks(spark), uuid.uuid4().hex
+    banks, run_id, tables = config.banks(spark), uuid.uuid4().hex, "all" if args.all_tables else "best"
     names = (cells if filings is None else filings).select(F.col("doc_id").alias("path")).distinct()
     docs, bad = pipeline.known_documents(names, banks, args.template, args.period)
     if args.command == "run":
         find_bank(args.bank)
         docs = docs.filter(F.col("bank") == args.bank)
-        values, _ = pipeline.extract_template(spark, cells, docs, second, decisions, strict=True) if filings is None else pipeline.structured_values(spark, filings, docs, strict=True)
+        values, _ = pipeline.extract_template(spark, cells, docs, second, decisions, strict=True, tables=tables) if filings is None else pipeline.structured_values(spark, filings, docs, strict=True)
         results = pipeline.reconcile_values(spark, values.persist()).persist()
         for row in pipeline.format_results(results).orderBy("field_code").select("line").toLocalIterator():
             print(row["line"])
         store.append(store.flatten(results, banks, run_id, now), args.store)
         review.enqueue(results, args.queue, run_id)
         return 0
-    tally = pipeline.sweep(spark, cells, docs, banks, run_id, now, args.store, args.queue, second, decisions, bad, filings)
+    tally = pipeline.sweep(spark, cells, docs, banks, run_id, now, args.store, args.queue, second, decisions, bad, filings, tables)
     for row in pipeline.summary_lines(tally).toLocalIterator():
         print(row["line"])
     return 0

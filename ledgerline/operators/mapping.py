@@ -53,11 +53,16 @@ def match_rows(index: DataFrame, aliases: DataFrame) -> DataFrame:
     return joined.groupBy(*TABLE, "template", "code").agg(F.min_by(F.struct("alias", "alias_ord", "row_idx", "label", "label_text", "label_col", "cells", "kind", "ecl", "floor", "field_ord"), "alias_ord").alias("m")).select(*TABLE, "template", "code", "m.*")
 
 
-def _claims(cells: DataFrame, template_fields: DataFrame, docs: DataFrame, min_matches: int, strict_footnotes: bool) -> DataFrame:
-    """Rows claimed in the chosen table of each document and engine, with the
-    document's filing and the table's ``score``."""
+def _claims(cells: DataFrame, template_fields: DataFrame, docs: DataFrame, min_matches: int, strict_footnotes: bool, tables: str = "best") -> DataFrame:
+    """Rows claimed in the chosen table (``tables="all"``: in every table with
+    enough matches) of each document and engine, with the document's filing and
+    the table's ``score``."""
+    if tables not in ("best", "all"):
+        raise ValueError(f"tables: {tables}")
     matched = match_rows(label_index(cells), aliases_of(template_fields, strict_footnotes)).join(docs, ["doc_id", "template"])
     scored = matched.withColumn("score", F.count("code").over(Window.partitionBy("doc_id", "template", "engine", "table_idx")))
+    if tables == "all":
+        return scored.filter(F.col("score") >= min_matches)
     place = F.struct("score", (-F.col("table_idx")).alias("t"))
     best = scored.withColumn("__best", F.max(place).over(Window.partitionBy("doc_id", "template", "engine")))
     return best.filter((F.col("__best.score") == F.col("score")) & (F.col("__best.t") == -F.col("table_idx")) & (F.col("score") >= min_matches)).drop("__best")
@@ -99,18 +104,25 @@ def _none(*names: str) -> list[Column]:
     return [F.lit(None).cast("string").alias(n) for n in names]
 
 
-def map_fields(cells: DataFrame, template_fields: DataFrame, docs: DataFrame, min_matches: int = MIN_MATCHES, strict_footnotes: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+def map_fields(cells: DataFrame, template_fields: DataFrame, docs: DataFrame, min_matches: int = MIN_MATCHES, strict_footnotes: bool = False, tables: str = "best") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(field values, unmatched fields, documents without a usable table).
 
+    ``tables``: 'best' reads the table that matches most fields; 'all' reads
+    every table with enough matches, for templates that run over pages: a field
+    then comes from the fullest table that gives it a number (ties: the first).
     Unmatched: (doc_id, engine, template, table_idx, code, field_ord) of the
-    chosen table's template fields that no row gave a number.
+    template's fields that no row gave a number, under the fullest table.
     """
-    found = _first_values(_claims(cells, template_fields, docs, min_matches, strict_footnotes))
+    found = _first_values(_claims(cells, template_fields, docs, min_matches, strict_footnotes, tables))
+    if tables == "all":
+        order = [F.col("v").isNull(), F.desc("score"), "table_idx"]
+        found = found.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id", "template", "engine", "code").orderBy(*order))).filter("__n = 1").drop("__n")
     rule = F.struct(F.lit("RULE").alias("method"), *_none("model", "prompt_sha", "prompt_version"), F.col("alias").alias("matched_alias"), F.lit(1.0).alias("confidence"))
     values = _as_values(found, rule)
-    have = found.groupBy("doc_id", "template", "engine", "table_idx").agg(F.collect_set(F.when(F.col("v").isNotNull(), F.col("code"))).alias("have"))
+    fullest = F.max(F.struct("score", (-F.col("table_idx")).alias("t"))).alias("b")
+    have = found.groupBy("doc_id", "template", "engine").agg(fullest, F.collect_set(F.when(F.col("v").isNotNull(), F.col("code"))).alias("have"))
     wanted = template_fields.groupBy("template").agg(F.collect_list(F.struct("code", "field_ord")).alias("fields"))
-    missing = have.join(F.broadcast(wanted), "template").select("doc_id", "engine", "template", "table_idx", F.explode(F.filter("fields", lambda f: ~F.array_contains("have", f["code"]))).alias("f"))
+    missing = have.join(F.broadcast(wanted), "template").select("doc_id", "engine", "template", (-F.col("b.t")).cast("int").alias("table_idx"), F.explode(F.filter("fields", lambda f: ~F.array_contains("have", f["code"]))).alias("f"))
     unmatched = missing.select("doc_id", "engine", "template", "table_idx", "f.code", "f.field_ord")
     chosen = have.select("doc_id", "template")
     without = docs.select("doc_id", "bank", "period", "template").join(chosen, ["doc_id", "template"], "left_anti").withColumn("error", F.lit("no table matches the template"))

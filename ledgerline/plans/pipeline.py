@@ -26,19 +26,20 @@ def reconcile_values(spark: SparkSession, values: DataFrame, on_basis_error: str
     return reconcile.reconcile(values, config.identity_operands(spark), config.magnitude_bands(spark) if bands is None else bands, tolerances or config.load_tolerances(), weights or config.load_weights(), on_basis_error)
 
 
-def extract_template(spark: SparkSession, cells: DataFrame, docs: DataFrame, secondary: DataFrame | None = None, decisions: DataFrame | None = None, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+def extract_template(spark: SparkSession, cells: DataFrame, docs: DataFrame, secondary: DataFrame | None = None, decisions: DataFrame | None = None, strict: bool = False, tables: str = "best") -> tuple[DataFrame, DataFrame]:
     """(field values, errors) of all documents: classified, mapped, completed
     by a mapper's decisions, crossed with a second engine's cells, first
     mapping of each field kept. ``strict``: any document without a table or a
-    mapped field raises instead of becoming an error row."""
+    mapped field raises instead of becoming an error row. ``tables``: see
+    ``mapping.map_fields``."""
     fields = config.template_fields(spark, *[r[0] for r in docs.select("template").distinct().collect()])
-    values, unmatched, errors = mapping.map_fields(cells, fields, docs)
+    values, unmatched, errors = mapping.map_fields(cells, fields, docs, tables=tables)
     if decisions is not None:
         more, _ = mapping.map_unmatched(cells, unmatched, fields, docs, decisions)
         values = values.unionByName(more)
     values, _ = mapping.first_wins(values)
     if secondary is not None:
-        other, _, _ = mapping.map_fields(secondary, fields, docs)
+        other, _, _ = mapping.map_fields(secondary, fields, docs, tables=tables)
         values = mapping.merge_engines(values, other)
     empty = docs.select("doc_id", "bank", "period", "template").join(values.select("doc_id").distinct(), "doc_id", "left_anti").join(errors.select("doc_id"), "doc_id", "left_anti").withColumn("error", F.lit("no field could be mapped"))
     errors = errors.select("doc_id", "bank", "period", "template", "error").unionByName(empty)
@@ -77,12 +78,12 @@ def structured_values(spark: SparkSession, filings: DataFrame, docs: DataFrame,
     return values, errors
 
 
-def sweep(spark: SparkSession, cells: DataFrame | None, docs: DataFrame, banks: DataFrame, run_id: str, extracted_at: str, store_path: str, queue_path: str, secondary: DataFrame | None = None, decisions: DataFrame | None = None, errors: DataFrame | None = None, filings: DataFrame | None = None) -> DataFrame:
+def sweep(spark: SparkSession, cells: DataFrame | None, docs: DataFrame, banks: DataFrame, run_id: str, extracted_at: str, store_path: str, queue_path: str, secondary: DataFrame | None = None, decisions: DataFrame | None = None, errors: DataFrame | None = None, filings: DataFrame | None = None, tables: str = "best") -> DataFrame:
     """All documents in one job: extract from ``cells`` (or take structured
     ``filings``), reconcile, store, enqueue; returns the tally per bank. A
     document that fails is an error row, never the end of the sweep. Results
     are written to the store first, then the queue."""
-    values, bad = extract_template(spark, cells, docs, secondary, decisions) if filings is None else structured_values(spark, filings, docs)
+    values, bad = extract_template(spark, cells, docs, secondary, decisions, tables=tables) if filings is None else structured_values(spark, filings, docs)
     values = values.persist()  # results and errors both read them
     results = reconcile_values(spark, values, "quarantine").persist()
     try:

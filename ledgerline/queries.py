@@ -259,6 +259,14 @@ def map_fields(spark, sf):
     return _double(mapping.map_fields(cells, config.template_fields(spark, "KM1"), docs)[0].select("doc_id", "field_code", "value", "unit"))
 
 
+def map_all_tables(spark, sf):
+    """The template's rows over two tables, as of reports that turn the page."""
+    cells, docs = _grids(spark, sf)
+    turned = cells.filter("table_idx = 1").withColumn("table_idx", F.when(F.col("row_idx") < 3, 1).otherwise(2))
+    values = mapping.map_fields(turned.unionByName(cells.filter("table_idx = 0")), config.template_fields(spark, "KM1"), docs, tables="all")[0]
+    return _double(values.select("doc_id", "field_code", "value", "unit"))
+
+
 def unmatched_fields(spark, sf):
     cells, docs = _grids(spark, sf)
     return mapping.map_fields(cells, config.template_fields(spark, "KM1"), docs)[1].groupBy("code").agg(F.count(F.lit(1)).alias("n"))
@@ -576,7 +584,7 @@ def sheet_titles(spark, sf):
 
 def queries() -> dict[str, Query]:
     named = [
-        reconcile_route, ratio_identity, cross_foot, two_engine, magnitude_sanity, confidence_product, peer_compare, trend_delta, golden_compare, golden_accuracy, exact_match_score, bootstrap_interval, registry_dedupe, normalise_en, normalise_locales, normalise_reject_reasons, scale_lift, structured_ingest, classify_table, map_fields, unmatched_fields, merge_engines, engine_coverage, period_parse, period_candidates, label_normalise, review_latest, sweep_summary, status_assertion, store_rows, newest_version, event_windows,
+        reconcile_route, ratio_identity, cross_foot, two_engine, magnitude_sanity, confidence_product, peer_compare, trend_delta, golden_compare, golden_accuracy, exact_match_score, bootstrap_interval, registry_dedupe, normalise_en, normalise_locales, normalise_reject_reasons, scale_lift, structured_ingest, classify_table, map_fields, map_all_tables, unmatched_fields, merge_engines, engine_coverage, period_parse, period_candidates, label_normalise, review_latest, sweep_summary, status_assertion, store_rows, newest_version, event_windows,
         period_phrases, resolve_latest, resolve_quarter_end, period_ambiguous, first_wins, unused_rows, fallback_prompts, map_unmatched, last_opinion_wins, extract_errors, known_documents, normalise_units, basis_errors,
         store_round_trip, queue_round_trip, review_cards, write_back, registry_against_ledger, raw_store, structured_files, cells_bottom_up, cells_ragged, secondary_engine, latest_run, engine_scores, sheet_titles,
     ]
@@ -586,7 +594,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     price = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE)"
     codes = "CASE WHEN i = 0 THEN 'KM1.1' WHEN i = 1 THEN 'KM1.2' WHEN i = 2 THEN 'KM1.4' WHEN i = 3 THEN 'KM1.5' ELSE 'KM1.6' END"
-    return {
+    sql = {
         "reconcile_route": f"WITH {_CHECKS} SELECT bank, period, field_code, value, confidence, status FROM routed",
         "ratio_identity": f"WITH {_CHECKS} SELECT bank, period, 'KM1/ratio_identities/0' AS check_id, i5 AS outcome, 3 AS n_fields FROM k UNION ALL SELECT bank, period, 'KM1/ratio_identities/1', i6, 3 FROM k UNION ALL SELECT bank, period, 'KM1/ratio_identities/2', 'SKIP', 3 FROM k",
         "cross_foot": "SELECT year(o_orderdate) || 'FY' AS period, CASE WHEN year(o_orderdate) % 2 = 1 THEN 'FAIL' ELSE 'PASS' END AS outcome, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS expected, round(CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) + CASE WHEN year(o_orderdate) % 2 = 1 THEN CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2)) ELSE 0.50 END AS DOUBLE), 2) AS actual FROM orders GROUP BY year(o_orderdate)",
@@ -618,7 +626,8 @@ def oracle_sql() -> dict[str, str]:
         "store_rows": f"WITH {_CHECKS} SELECT r.bank, r.period, 'US' AS jurisdiction, r.field_code AS field, r.value, r.confidence, r.status, concat_ws(',', CASE WHEN list_contains(c.o[1:CASE WHEN c.field_code = 'KM1.4' THEN 2 ELSE 1 END], 'PASS') OR list_contains(c.o[1:CASE WHEN c.field_code = 'KM1.4' THEN 2 ELSE 1 END], 'FAIL') THEN 'RATIO_IDENTITY' END, CASE WHEN c.te <> 'SKIP' THEN 'TWO_ENGINE' END) AS basis FROM routed r JOIN c ON r.bank = c.bank AND r.period = c.period AND r.field_code = c.field_code",
         "newest_version": "SELECT source AS bank_id, '202' || (doc_id % 5) || 'Q1' AS period, lang AS template, lpad(CAST(max(doc_id) AS VARCHAR), 12, '0') AS fetched_at FROM documents GROUP BY source, doc_id % 5, lang",
         "event_windows": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n FROM events GROUP BY ALL",
-        } | _more_sql()
+        }
+    return sql | {"map_all_tables": sql["map_fields"] + " UNION ALL SELECT bank || '/' || period, 'KM1.3', 1.0, 'USD_M' FROM w"} | _more_sql()
 
 
 def _more_sql() -> dict[str, str]:

@@ -43,6 +43,19 @@ def test_best_table_wins_and_ties_go_first(spark):
     assert without.first()["error"] == "no table matches the template"
 
 
+def test_templates_over_several_tables(spark):
+    first, second = grid(spark, KM1_GRID[:4], table=0), grid(spark, [["Tier 1 capital", "n/a"], *KM1_GRID[4:]], table=3)
+    both = first.unionByName(second).unionByName(grid(spark, [["Total capital", "9"], ["something", "6"]], table=1))
+    vals, unmatched, _ = mapped(spark, both)
+    assert len(figures(vals)) == 3 and {r["table_idx"] for r in unmatched.collect()} == {3}
+    vals, unmatched, without = mapping.map_fields(both, config.template_fields(spark, "KM1"), docs(spark), tables="all")
+    assert figures(vals) == {k: D(v) for k, v in KM1.items() if k != "KM1.2"} and without.isEmpty()  # the topmost row of a label counts
+    assert {r["table_idx"] for r in unmatched.collect()} == {3} and "KM1.2" in {r["code"] for r in unmatched.collect()}
+    again = both.unionByName(grid(spark, [["Tier 1 capital", "41,900"], ["Total capital", "1"]], table=4))
+    vals, _, _ = mapping.map_fields(again, config.template_fields(spark, "KM1"), docs(spark), tables="all")
+    assert figures(vals) == {k: D(v) for k, v in KM1.items()}
+
+
 def test_first_number_right_of_label_topmost_label_first_alias(spark):
     rows = [["Tier 1 capital", "n/a", "–", "41,900"], ["Tier 1 capital", "9", "9", "9"], ["Total own funds", "1"], ["Total capital", "2"], ["CET1 capital", "abc"]]
     vals, unmatched, _ = mapped(spark, grid(spark, rows))
