@@ -162,7 +162,8 @@ def thresholds(sketches: DataFrame, rules: dict[str, Rule] = MEASURES, prior_row
 
 def _measured(docs: DataFrame, text_col: str, lang_col: str, source_col: str, carry: list[str]) -> DataFrame:
     quoted = [f"`{c}`" for c in carry]
-    keyed = docs.select(*quoted, F.col(lang_col).alias("__lang"), F.col(source_col).alias("__source"), measures(text_col).alias("__m"))
+    # A filter on counts stops at a generator; pushed into a projection it would measure every text a second time.
+    keyed = docs.select(*quoted, F.col(lang_col).alias("__lang"), F.col(source_col).alias("__source"), F.explode(F.array(measures(text_col))).alias("__m"))
     return keyed.select(*quoted, "__lang", "__source", *[F.col(f"__m.{c}").alias(c) for c in _COUNTS])
 
 
