@@ -182,9 +182,10 @@ def _role_in(role: Column) -> Column:
 
 def format_turns(chats: DataFrame, turns_col: str = "turns", trained: Sequence[str] = ("assistant",)) -> DataFrame:
     """Adds ``segments`` (text, loss), the template's pieces in order with the
-    loss mask, and ``formatted``, their concatenation. Only texts of
-    ``trained`` roles are under the mask. Columns of these names are replaced."""
-    chats = replace_columns(chats, ["segments", "formatted"])
+    loss mask, ``formatted``, their concatenation, and ``loss_spans`` (start,
+    end), the code points of it under the mask. Only texts of ``trained`` roles
+    are under the mask. Columns of these names are replaced."""
+    chats = replace_columns(chats, ["segments", "formatted", "loss_spans"])
     piece = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
 
     def turn(t: Column) -> Column:
@@ -195,7 +196,11 @@ def format_turns(chats: DataFrame, turns_col: str = "turns", trained: Sequence[s
         )
 
     made = chats.withColumn("segments", F.flatten(F.transform(turns_col, turn)))
-    return made.withColumn("formatted", F.array_join(F.transform("segments", lambda s: s["text"]), ""))
+    spans = F.expr(
+        "aggregate(segments, named_struct('at', 0, 'spans', cast(array() as array<struct<start:int,end:int>>)), "
+        "(a, s) -> named_struct('at', a.at + length(s.text), 'spans', if(s.loss, concat(a.spans, array(named_struct('start', a.at, 'end', a.at + length(s.text)))), a.spans)), a -> a.spans)"
+    )
+    return made.withColumn("formatted", F.array_join(F.transform("segments", lambda s: s["text"]), "")).withColumn("loss_spans", spans)
 
 
 def read_turns(formatted: Column) -> Column:
@@ -211,6 +216,6 @@ def read_turns(formatted: Column) -> Column:
     return F.transform(pieces, turn)
 
 
-def read_loss(segments: Column) -> Column:
-    """All text under the loss mask, unescaped, in order."""
-    return F.array_join(F.transform(F.filter(segments, lambda s: s["loss"]), lambda s: unescape(s["text"])), "")
+def read_loss(formatted: Column, spans: Column) -> Column:
+    """All text of a formatted chat under the loss mask, unescaped, in order."""
+    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["end"] - s["start"]))), "")

@@ -72,7 +72,7 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(1).select(F.lit(-7).cast("bigint").alias("conv_id"), F.lit(said).alias("prompt"), F.lit(said).alias("response"))
     records = rows.unionByName(extra, allowMissingColumns=True)
     made = chat.format_turns(chat.canonical_turns(records, ["conv_id"]))
-    back = made.select("conv_id", "layout", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("segments")).alias("loss"))
+    back = made.select("conv_id", "layout", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
         "conv_id",

@@ -90,6 +90,21 @@ def _between(low: Point, high: Point, probes: int) -> list[Point]:
     return [(k1, t) for t in range(t1 + step, end, step)]
 
 
+def _probes(lo: tuple, hi: tuple, mark, probes: int) -> list[Point]:
+    """Probes of an interval: half of them evenly spread, which halves it at
+    least; the others close in on the place where the mark would lie if bytes
+    were spread evenly over the keys, which mostly ends the search in few rounds."""
+    spread = _between(lo[0], hi[0], max(1, probes // 2))
+    (k1, _), (k2, _) = lo[0], hi[0]
+    if k2 - k1 < 4 or hi[1] <= lo[1] or len(spread) < probes // 2:
+        return _between(lo[0], hi[0], probes)
+    guess = k1 + int((k2 - k1) * (mark - lo[1]) / (hi[1] - lo[1]))
+    near, reach = set(), (k2 - k1) // 4
+    for i in range(max(1, probes // 4)):
+        near |= {guess - (reach >> 2 * i), guess + (reach >> 2 * i)}
+    return sorted({*spread, *((k, _LOW) for k in near if k1 < k < k2)})
+
+
 def find_splitters(sizes: DataFrame, marks: list[int], tolerances: list[float], total: int, probes: int = PROBES) -> list[tuple[Point, int, int]]:
     """For each byte mark a splitter point with the exact bytes and rows below
     it, as near to the mark as its tolerance asks or rows allow.
@@ -112,7 +127,7 @@ def find_splitters(sizes: DataFrame, marks: list[int], tolerances: list[float],
             if done[i] is not None:
                 continue
             near = min((lo, hi), key=lambda x: (abs(x[1] - marks[i]), -x[1]))
-            mids = _between(lo[0], hi[0], share) if hi[2] - lo[2] > 1 else []
+            mids = _probes(lo, hi, marks[i], share) if hi[2] - lo[2] > 1 else []
             if abs(near[1] - marks[i]) <= tolerances[i] or not mids:
                 done[i] = near
             wanted.update(mids if done[i] is None else ())

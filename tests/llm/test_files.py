@@ -58,6 +58,23 @@ def test_splitters_within_tolerance(spark):
         assert abs(below - mark) <= 97
 
 
+def test_few_rounds_find_splitters_of_any_spread(spark, monkeypatch):
+    """Even, skewed and clustered keys: exact splitters, and few passes over the keys."""
+    rounds, count = [], sharding._histogram
+    monkeypatch.setattr(sharding, "_histogram", lambda *a: rounds.append(1) or count(*a))
+    for key, most in (("id", 2), ("id * id * 1000003", 4), ("if(id % 2 = 0, id, (1L << 60) + id * 7)", 12)):
+        sizes = spark.range(5000).selectExpr(f"{key} as key", "id as tie", "cast(1 + id % 97 as bigint) as size")
+        rows = sizes.orderBy("key", "tie").collect()
+        total = sum(r["size"] for r in rows)
+        marks = [total * i // 24 for i in range(1, 24)]
+        ends = np.cumsum([r["size"] for r in rows])
+        rounds.clear()
+        for (_, below, n), mark in zip(sharding.find_splitters(sizes, marks, [0.0] * 23, total), marks):
+            best = min(range(len(ends) + 1), key=lambda i: (abs((int(ends[i - 1]) if i else 0) - mark), -i))  # noqa: B023
+            assert (below, n) == (int(ends[best - 1]) if best else 0, best)
+        assert len(rounds) <= most, (key, len(rounds))
+
+
 def test_words_encode_as_whole_texts(docs):
     odd = [None, b"", b"  ", b"a", b".", b"...", b"It's fine. 'S it'S. don't!!", b"<|endoftext|>x. y<|endoftext|>. <|ENDOFTEXT|>. <|startoftext|>.", "H̱a. …. Åx. Å ẞ. ΣΣ. İİ é. é!".encode(), b"x y", b"z.", b"a\x00b\xc2\xa0c. 12.3.4, 5%% (x)) 7.", b" lead", b"trail ", b"\n", b"q" * 500]
     texts = odd + [r["text"].encode() for r in docs.select("text").collect()]
