@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..errors import StoreError
 from ..functions.periods import period_ord
 from ..plans import schema as S
+from ..sources import xlsx
 
 
 def assert_known_statuses(dataset: DataFrame) -> None:
@@ -59,32 +60,22 @@ def safe_title(text):
     return F.left(F.translate(text, r"[]:*?/" + "\\", "_______"), F.lit(31))
 
 
+def sheet_name(code: str) -> str:
+    """``safe_title`` of one name on the driver."""
+    return "".join("_" if c in "[]:*?/\\" else c for c in code)[:31]
+
+
 def export(rows: dict[str, DataFrame], path: str) -> list[str]:
-    """Write one table per field code for display: an XLSX workbook if openpyxl
-    is there and the path ends so, else a CSV folder per code. No codes: an
-    error; no rows: a header."""
+    """Write one table per field code for display: a workbook if the path ends
+    in .xlsx, else a CSV folder per code. No codes: an error; no rows: a header."""
     if not rows:
         raise ValueError("no field codes to export")
     if path.endswith(".xlsx"):
-        import openpyxl
-        from openpyxl.styles import Font
-
-        book = openpyxl.Workbook()
-        book.remove(book.active)
-        for code, df in rows.items():
-            title = "".join("_" if c in "[]:*?/\\" else c for c in code)[:31]
-            sheet = book.create_sheet(title)
-            sheet.append(df.columns)
-            for cell in sheet[1]:
-                cell.font = Font(bold=True)
-            sheet.freeze_panes = "A2"
-            for r in df.toLocalIterator():
-                sheet.append([float(v) if hasattr(v, "as_tuple") else v for v in r])
-        book.save(path)
+        xlsx.write(path, [(sheet_name(code), df.columns, df.toLocalIterator()) for code, df in rows.items()])
         return [path]
     out = []
     for code, df in rows.items():
-        target = f"{path.rstrip('/')}/{''.join('_' if c in '[]:*?/' + chr(92) else c for c in code)[:31]}"
+        target = f"{path.rstrip('/')}/{sheet_name(code)}"
         shown = df.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else f.name for f in df.schema.fields])
         shown.coalesce(1).write.mode("overwrite").option("header", True).csv(target)
         out.append(target)

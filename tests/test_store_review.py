@@ -67,6 +67,46 @@ def test_export(spark, tmp_path):
         analytics.export({}, str(tmp_path))
 
 
+def test_workbook(spark, tmp_path):
+    import zipfile
+    from xml.etree import ElementTree
+
+    path = str(tmp_path / "peers.xlsx")
+    peers = analytics.peer_compare(rows(spark, ("a & b", "2025Q4", "13.6", "AUTO_PASSED"), ("c", "2025Q4", "14", "HUMAN_CONFIRMED")), "KM1.5", "2025Q4")
+    assert analytics.export({"KM1.5": peers, "x/y[1]" + "z" * 40: peers.limit(0)}, path) == [path]
+    ns = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
+    with zipfile.ZipFile(path) as book:
+        for name in book.namelist():
+            ElementTree.fromstring(book.read(name))
+        sheets = [s.get("name") for s in ElementTree.fromstring(book.read("xl/workbook.xml")).iterfind(".//m:sheet", ns)]
+        assert sheets == ["KM1.5", ("x_y_1_" + "z" * 40)[:31]]
+        first, second = (ElementTree.fromstring(book.read(f"xl/worksheets/sheet{i}.xml")) for i in (1, 2))
+    cells = [["".join(c.itertext()) for c in r] for r in first.iterfind(".//m:row", ns)]
+    assert cells == [peers.columns, ["c", "2025Q4", "KM1.5", "14.0", "PERCENT", "HUMAN_CONFIRMED", "1.0"], ["a & b", "2025Q4", "KM1.5", "13.6", "PERCENT", "AUTO_PASSED", "2.0"]]
+    assert len(list(second.iterfind(".//m:row", ns))) == 1 and first.find(".//m:pane", ns).get("state") == "frozen" and first.find(".//m:row", ns)[0].get("s") == "1"
+
+
+def test_fetch_pins_digests(spark, tmp_path):
+    import hashlib
+    import threading
+    from functools import partial
+    from http.server import SimpleHTTPRequestHandler, ThreadingHTTPServer
+
+    from ledgerline.sources import fetch
+
+    (tmp_path / "a.csv").write_bytes(b"datapoint,value\n")
+    sha = hashlib.sha256(b"datapoint,value\n").hexdigest()
+    server = ThreadingHTTPServer(("127.0.0.1", 0), partial(SimpleHTTPRequestHandler, directory=str(tmp_path)))
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    at = f"http://127.0.0.1:{server.server_port}"
+    wanted = [(f"{at}/a.csv", sha.upper(), "barclays"), (f"{at}/a.csv", "0" * 64, "hsbc"), (f"{at}/none", None, "ubs"), (f"file://{tmp_path}/a.csv", None, "ing"), ("no address", None, "x")]
+    got = {r["bank_id"]: r for r in fetch.fetch(spark.createDataFrame(wanted, "url string, sha256 string, bank_id string"), 3).collect()}
+    server.shutdown()
+    assert bytes(got["barclays"]["content"]) == bytes(got["ing"]["content"]) == b"datapoint,value\n" and got["barclays"]["error"] is None
+    assert got["hsbc"]["content"] is None and got["hsbc"]["error"] == f"sha256 is {sha}, not {'0' * 64}"
+    assert "404" in got["ubs"]["error"] and got["x"]["error"].startswith("not fetched")
+
+
 def test_registry(spark, tmp_path):
     path, raw = str(tmp_path / "ledger"), tmp_path / "raw"
     ddl = "content binary, bank_id string, period string, template string, url string, source_kind string"
