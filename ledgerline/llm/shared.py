@@ -8,6 +8,8 @@ lineage is cut only through tables in the folder named by
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import reduce
@@ -27,7 +29,7 @@ def shared_root(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
     Only a purely local session (tests) may lack the setting; it then gets a
-    temporary folder. On a cluster a missing setting is an error, as a
+    temporary folder, removed at its end. On a cluster a missing setting is an error, as a
     machine-local folder would lose data there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -37,7 +39,9 @@ def shared_root(spark: SparkSession) -> str:
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_root:
-        _local_root[app] = "file://" + tempfile.mkdtemp(prefix="ledgerline-")
+        folder = tempfile.mkdtemp(prefix="ledgerline-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _local_root[app] = "file://" + folder
     return _local_root[app]
 
 
