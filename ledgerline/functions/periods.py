@@ -64,10 +64,7 @@ class Token(NamedTuple):
     gap: str
     free: bool  # no letter, digit or underscore touches its front
     open: bool  # nor its back
-
-    @property
-    def number(self) -> bool:
-        return self.text[0].isdecimal()
+    number: bool
 
 
 class Phrase(NamedTuple):
@@ -81,11 +78,12 @@ class Phrase(NamedTuple):
 
 
 def tokens(text: str) -> list[Token]:
-    out, at = [], 0
-    touching = lambda i: 0 <= i < len(text) and (text[i].isalnum() or text[i] == "_")
+    out, at, padded = [], 0, f" {text} "
     for m in _PIECE.finditer(text):
-        out.append(Token(m.group().lower(), m.start(), m.end(), text[at : m.start()], not touching(m.start() - 1), not touching(m.end())))
-        at = m.end()
+        start, end = m.span()
+        before, after, piece = padded[start], padded[end + 1], m.group().lower()
+        out.append(Token(piece, start, end, text[at:start], not (before.isalnum() or before == "_"), not (after.isalnum() or after == "_"), piece[0].isdecimal()))
+        at = end
     return out
 
 
@@ -191,8 +189,15 @@ def _annual(t: list[Token], i: int) -> Phrase | None:
     return Phrase(int(t[k].text), None, t[i].start, t[k].end, k)
 
 
-#: Readers with the weight of what they find, and whether "as at", "as of" or "at" may lead it in.
-_READERS = [(_long_date, LONG_DATE, True), (_day_first, NUMERIC_DATE, True), (_year_first, NUMERIC_DATE, True), (_quarter_token, TOKEN, True), (_quarter_in_words, TOKEN, False), (_annual, TOKEN, False)]
+#: Readers with the weight of what they find, whether "as at", "as of" or "at" may lead it in, and which tokens may begin it.
+_READERS = [
+    (_long_date, LONG_DATE, True, lambda t: t.number),
+    (_day_first, NUMERIC_DATE, True, lambda t: t.number),
+    (_year_first, NUMERIC_DATE, True, lambda t: t.number),
+    (_quarter_token, TOKEN, True, lambda t: t.number or t.text[-1] == "q"),
+    (_quarter_in_words, TOKEN, False, lambda t: t.text.endswith(tuple(ORDINALS))),
+    (_annual, TOKEN, False, lambda t: t.text in ("fy", "full", "financial", "fiscal")),
+]
 
 
 def _lead_in(t: list[Token], i: int, start: int) -> tuple[Decimal, int]:
@@ -208,34 +213,37 @@ def _lead_in(t: list[Token], i: int, start: int) -> tuple[Decimal, int]:
     return bonus, start
 
 
+#: Headings by their first word: the words and what stands between them.
+_HEADING_WORDS: dict[str, list[tuple[list[str], list[str]]]] = {}
+for _heading in HEADINGS:
+    _cut = tokens(_heading)
+    _HEADING_WORDS.setdefault(_cut[0].text, []).append(([x.text for x in _cut], [x.gap for x in _cut[1:]]))
+
+
 def _headings(t: list[Token]) -> list[tuple[int, int]]:
     """(start, end) of each heading keyword."""
     out = []
-    for words in HEADINGS:
-        pieces = _PIECE.findall(words)
-        gaps = [x.gap for x in tokens(words)][1:]
-        n = len(pieces)
-        for i in range(len(t) - n + 1):
-            run = t[i : i + n]
-            if run[0].text == pieces[0] and [x.text for x in run] == pieces and [x.gap for x in run[1:]] == gaps and run[0].free and run[-1].open:
-                out.append((run[0].start, run[-1].end))
-    return sorted(out)
+    for i, token in enumerate(t):
+        for words, gaps in _HEADING_WORDS.get(token.text, ()) if token.free else ():
+            run = t[i : i + len(words)]
+            if [x.text for x in run] == words and [x.gap for x in run[1:]] == gaps and run[-1].open:
+                out.append((token.start, run[-1].end))
+    return out
 
 
 def scan_periods(text: str | None) -> Iterator[tuple]:
     """(year, quarter or None, evidence, confidence, start, end, seq) of every signal, unranked."""
     t, headings, seq = tokens(text or ""), None, 0
-    for read, weight, led in _READERS:
-        i = 0
-        while i < len(t):
-            found = read(t, i)
+    for read, weight, led, begins in _READERS:
+        free = 0
+        for i in [i for i, token in enumerate(t) if begins(token)]:
+            found = read(t, i) if i >= free else None
             if found is None:
-                i += 1
                 continue
-            bonus, start = _lead_in(t, i, found.start) if led else (Decimal(0), found.start)
-            i = found.last + 1
+            free = found.last + 1
             if found.quarter == 0 or not YEARS[0] <= found.year <= YEARS[1]:
                 continue
+            bonus, start = _lead_in(t, i, found.start) if led else (Decimal(0), found.start)
             headings = _headings(t) if headings is None else headings
             before = [h for h in headings if h[0] >= start - HEADING_CHARS and h[1] <= start]
             if before:
